@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontaminate, licenses, packing, quality, secret_scan, simhash, toxicity
+from quillmill.llm import decontaminate, licenses, packing, quality, secret_scan, simhash, syncmers, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op8_simhash": op8_simhash,
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op6_secrets": op6_secrets,
     "op4_licenses": op4_licenses,
+    "op10_syncmers": op10_syncmers,
 }
 
 #: A-Z lower-cased, all else as it is; then the words.
