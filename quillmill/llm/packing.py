@@ -32,8 +32,8 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 
 # --- token ids
 
-#: Words kept with their ids in a Python worker; then the table starts anew.
-KEPT_WORDS = 250_000
+#: Words of a generation that a Python worker keeps with their ids.
+KEPT_WORDS = 200_000
 #: Characters whose normal form, class and lower case are plain: of others the library's own normaliser is asked.
 _PLAIN = "\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ÿ¡¿«»‘’“”–—…•€©®°"
 _ODD = re.compile(f"[^{_PLAIN}]")
@@ -41,29 +41,48 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes: the tokenizer's own ids, each distinct word encoded once."""
+    """Ids of texts as little-endian 32-bit bytes: the tokenizer's own ids, each distinct word encoded once.
+
+    Words are kept in two generations, so that a full table loses the words not met since it was last full.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, met: set[str]) -> None:
+        if len(self.words) > KEPT_WORDS:
+            self.words, self.older = {}, self.words
+        fresh = []
+        for word in met.difference(self.words):
+            known = self.older.get(word)
+            if known is None:
+                fresh.append(word)
+            else:
+                self.words[word] = known
+        if fresh:
+            # Each is one word to the tokenizer too, so one call over them all gives each word's ids; its last one ends a word.
+            ids = np.array(self.tokenizer.encode_batch_fast([fresh], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            raw = ids.tobytes()
+            self.words.update((word, raw[4 * a : 4 * b]) for word, a, b in zip(fresh, ends[:-1], ends[1:], strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split: list[list[str] | None] = []
-        new: set[str] = set()
-        if len(self.words) > KEPT_WORDS:
-            self.words = {}
+        met: set[str] = set()
         for text in texts:
             if text and ("<|" in text or _ODD.search(text)):
                 split.append(None)
                 continue
             words = _PIECE.findall(text.lower()) if text else []
-            new.update(words)
+            met.update(words)
             split.append(words)
-        fresh = [w for w in new if w not in self.words]
-        for word, found in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False), strict=True):
-            self.words[word] = np.array(found.ids, dtype="<u4").tobytes()
+        self._learn(met)
         get = self.words.__getitem__
         return [b"".join(map(get, words)) if words is not None else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() for text, words in zip(texts, split, strict=True)]
 
