@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import decontaminate, licenses, packing, quality, secret_scan, simhash, syncmers, toxicity
+from quillmill.llm import chunks, decontaminate, licenses, packing, quality, secret_scan, simhash, syncmers, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op8_simhash": op8_simhash,
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
     "op4_licenses": op4_licenses,
     "op10_syncmers": op10_syncmers,
+    "op7_chunks": op7_chunks,
 }
 
 #: A-Z lower-cased, all else as it is; then the words.
