@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmill.llm import chunks, decontaminate, licenses, packing, quality, secret_scan, simhash, syncmers, toxicity
+from quillmill.llm import chunks, decontaminate, licenses, packing, pii, quality, secret_scan, simhash, syncmers, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op7_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.passages(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op8_simhash": op8_simhash,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_licenses": op4_licenses,
     "op10_syncmers": op10_syncmers,
     "op7_chunks": op7_chunks,
+    "op5_pii": op5_pii,
 }
 
 #: A-Z lower-cased, all else as it is; then the words.
