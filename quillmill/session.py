@@ -11,6 +11,7 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

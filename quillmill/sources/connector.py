@@ -24,7 +24,10 @@ class Request(InputPartition):
 
 
 class PageSource(DataSource):
-    """Options: requests (JSON list of url, facet_id, partition_key, page) and transport (module:function)."""
+    """Options: requests (JSON list of url, facet_id, partition_key, page), transport (module:function), and push.
+
+    With push set to true, which needs spark.sql.python.filterPushdown.enabled, a filter on the facet spares its requests.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -34,7 +37,7 @@ class PageSource(DataSource):
         return "url string, facet_id string, partition_key string, page int, html string, error string"
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return PageReader(self.options)
+        return (FilteredPageReader if self.options.get("push") == "true" else PageReader)(self.options)
 
 
 class PageReader(DataSourceReader):
@@ -42,13 +45,6 @@ class PageReader(DataSourceReader):
         self.requests = [Request(r["url"], r["facet_id"], r["partition_key"], int(r["page"])) for r in json.loads(options["requests"])]
         self.transport = options["transport"]
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("facet_id",):
-                self.requests = [r for r in self.requests if r.facet_id == f.value]
-            else:
-                yield f
-
     def partitions(self) -> list[InputPartition]:
         return self.requests
 
@@ -59,3 +55,12 @@ class PageReader(DataSourceReader):
         except Exception as e:  # noqa: BLE001  a page that fails is a row with its error
             html, error = None, type(e).__name__
         yield partition.url, partition.facet_id, partition.partition_key, partition.page, html, error
+
+
+class FilteredPageReader(PageReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("facet_id",):
+                self.requests = [r for r in self.requests if r.facet_id == f.value]
+            else:
+                yield f
