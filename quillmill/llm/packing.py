@@ -33,7 +33,7 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 # --- token ids
 
 #: Words of a generation that a Python worker keeps with their ids.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 300_000
 #: Characters whose normal form, class and lower case are plain: of others the library's own normaliser is asked.
 _PLAIN = "\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ÿ¡¿«»‘’“”–—…•€©®°"
 _ODD = re.compile(f"[^{_PLAIN}]")
@@ -47,9 +47,12 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model for words that are normal and split already.
+        self.by_word = Tokenizer(self.tokenizer.model)
+        self.by_word.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
@@ -67,7 +70,7 @@ class Encoder:
                 self.words[word] = known
         if fresh:
             # Each is one word to the tokenizer too, so one call over them all gives each word's ids; its last one ends a word.
-            ids = np.array(self.tokenizer.encode_batch_fast([fresh], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.array(self.by_word.encode_batch_fast([fresh], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype="<u4")
             ends = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
             raw = ids.tobytes()
             self.words.update((word, raw[4 * a : 4 * b]) for word, a, b in zip(fresh, ends[:-1], ends[1:], strict=True))
