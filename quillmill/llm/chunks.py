@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillmill.llm._store import written
 from quillmill.llm._text import slices, text_buffers
 
 #: Bytes that decide a cut, zero bits at one, least bytes after the candidate before, most bytes of a chunk.
@@ -109,14 +110,20 @@ def passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
 
 def _parts(docs: DataFrame, run_words: int) -> DataFrame:
     found = chunks(docs)
-    holders = found.groupBy(F.col("digest").alias("repeated")).agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("other")).filter("holder < other").select("repeated", "holder")
-    met = found.join(holders, F.col("digest") == F.col("repeated")).select("doc_id", "row", "place", "start", (F.col("start") + F.col("size")).alias("end"), "words", "holder", (F.col("holder") != F.col("doc_id")).alias("copy"))
-    # All windows are within one text.
-    text = Window.partitionBy("doc_id", "row")
-    met = met.withColumn("run", F.col("place") - F.dense_rank().over(text.orderBy("place")))
-    met = met.withColumn("part", F.col("place") - F.dense_rank().over(Window.partitionBy("doc_id", "row", "run", "copy").orderBy("place")))
-    met = met.dropDuplicates(["doc_id", "row", "place"])
-    parts = met.groupBy("doc_id", "row", "run", "copy", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.min("holder").alias("first_doc_id"))
+    # A table of its own, so that the join below stands between two exchanges, where Spark splits a hot digest.
+    holders = written(found.groupBy(F.col("digest").alias("repeated")).agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("other")).filter("holder < other").select("repeated", "holder"), "holders")
+    # Four numbers a chunk cross the exchange; a row of seven fields would be half as large again.
+    info = F.shiftleft(F.col("row").cast("bigint"), 32).bitwiseOR(F.shiftleft(F.col("size").cast("bigint"), 16)).bitwiseOR(F.col("words").cast("bigint"))
+    met = found.select("doc_id", "digest", "start", info.alias("info")).join(holders, F.col("digest") == F.col("repeated"))
+    size, words = (F.shiftright("info", k).bitwiseAND(F.lit(0xFFFF)) for k in (16, 0))
+    met = met.select("doc_id", F.shiftright("info", 32).alias("row"), "start", (F.col("start") + size).alias("end"), words.alias("words"), "holder", (F.col("holder") != F.col("doc_id")).alias("copy"))
+    # All that follows is within one text.
+    met = met.dropDuplicates(["doc_id", "row", "start"])
+    text = Window.partitionBy("doc_id", "row").orderBy("start")
+    begins = F.coalesce(F.lag("end").over(text) != F.col("start"), F.lit(True))
+    met = met.withColumn("begins", begins).withColumn("turns", F.col("begins") | F.coalesce(F.lag("copy").over(text) != F.col("copy"), F.lit(True)))
+    met = met.withColumn("run", F.sum(F.col("begins").cast("int")).over(text)).withColumn("part", F.sum(F.col("turns").cast("int")).over(text))
+    parts = met.groupBy("doc_id", "row", "run", "part", "copy").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("n_words"), F.min("holder").alias("first_doc_id"))
     summed = parts.withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "row", "run")))
     return summed.filter(F.col("run_words") >= run_words).select("doc_id", "row", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"), "n_words", "run_words", "copy", "first_doc_id")
 
