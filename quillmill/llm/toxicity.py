@@ -206,7 +206,7 @@ DEFAULT_CURVE = np.array([-4.0, 2.5, 0.0])
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MOST_LABELLED) -> tuple[dict[str, float], np.ndarray]:
     """The lexicon and the curve, from a sample of `most` labelled rows outside the held-out fold."""
     terms = {f" {w} ": SEED_WEIGHT for w in SEEDS.split()}
-    chosen = sample(docs, labels, label, most)
+    chosen = written(sample(docs, labels, label, most), "labelled")  # as large as `most` rows; all texts are read once for it
     terms |= _learned(chosen)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
