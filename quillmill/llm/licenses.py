@@ -8,6 +8,7 @@ places overlap, one inside another of the same or a higher priority is suppresse
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The base phrases and their labels.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-# Label, a word that every use of the name has, the name's pattern, the SPDX tag's pattern, the address's pattern.
+# Label, keywords of which every use of the name has one, the name's pattern, the SPDX tag's pattern, the address's pattern.
 NAMES = (
     ("mit", "mit", "mit", "mit", "opensource org licenses mit"),
     ("mit-0", "mit", "mit (no attribution|0)", "mit 0", "opensource org licenses? mit 0"),
@@ -33,22 +34,22 @@ NAMES = (
     ("bsd-4-clause", "bsd", "(original bsd|bsd 4 clause|4 clause bsd|four clause bsd)", "bsd 4 clause", "spdx org licenses bsd 4 clause"),
     ("0bsd", "bsd", "(zero clause bsd|bsd zero clause|0 clause bsd|0bsd)", "0bsd", "opensource org licenses 0bsd"),
     ("isc", "isc", "isc", "isc", "opensource org licenses isc"),
-    ("gpl-1", "g", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( version| v)? ?1( 0)?", "gpl 1 0( only| or later)?", "gnu org licenses old licenses gpl 1 0"),
-    ("gpl-2", "g", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( either)?( version| v)? ?2( 0)?", "gpl 2 0( only| or later)?", "gnu org licenses (old licenses )?gpl 2 0"),
-    ("gpl-3", "g", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( either)?( version| v)? ?3( 0)?", "gpl 3 0( only| or later)?", "gnu org licenses gpl 3 0"),
-    ("gpl", "g", "(gnu general public license|gnu gpl)", "gpl", "gnu org licenses gpl"),
-    ("lgpl-2", "l", "(gnu )?(library general public license|lgpl)( version| v)? ?2( 0)?(?! 1)", "lgpl 2 0( only| or later)?", "gnu org licenses old licenses lgpl 2 0"),
-    ("lgpl-2.1", "l", "(gnu )?(lesser general public license|lgpl)( version| v)? ?2 1", "lgpl 2 1( only| or later)?", "gnu org licenses (old licenses )?lgpl 2 1"),
-    ("lgpl-3", "l", "(gnu )?(lesser general public license|lgpl)( version| v)? ?3( 0)?", "lgpl 3 0( only| or later)?", "gnu org licenses lgpl 3 0"),
-    ("agpl-3", "a", "(gnu )?(affero general public license|agpl)( version| v)? ?3( 0)?", "agpl 3 0( only| or later)?", "gnu org licenses agpl 3 0"),
-    ("fdl-1.3", "f", "(gnu )?(free documentation license|fdl|gfdl)( version| v)? ?1 [123]", "gfdl 1 [123]( only| or later)?", "gnu org licenses fdl 1 3"),
-    ("mpl-1.1", "m", "(mozilla public license|mpl)( version| v)? ?1 1", "mpl 1 1", "mozilla org mpl 1 1"),
-    ("mpl-2", "m", "(mozilla public license|mpl)( version| v)? ?2( 0)?", "mpl 2 0", "mozilla org (en us )?mpl 2 0"),
-    ("epl-1", "e", "(eclipse public license|epl)( version| v)? ?1( 0)?", "epl 1 0", "eclipse org legal epl v10"),
-    ("epl-2", "e", "(eclipse public license|epl)( version| v)? ?2( 0)?", "epl 2 0", "eclipse org legal epl 2 0"),
-    ("eupl-1.2", "e", "(european union public licen[cs]e|eupl)( version| v)? ?1 [012]", "eupl 1 [012]", "joinup ec europa eu (collection )?eupl"),
-    ("cddl-1", "c", "(common development and distribution license|cddl)( version| v)? ?1 [01]", "cddl 1 [01]", "opensource org licenses cddl 1 0"),
-    ("cpl-1", "c", "(common public license|cpl)( version| v)? ?1( 0)?", "cpl 1 0", "opensource org licenses cpl1 0"),
+    ("gpl-1", "general public licen|gpl", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( version| v)? ?1( 0)?", "gpl 1 0( only| or later)?", "gnu org licenses old licenses gpl 1 0"),
+    ("gpl-2", "general public licen|gpl", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( either)?( version| v)? ?2( 0)?", "gpl 2 0( only| or later)?", "gnu org licenses (old licenses )?gpl 2 0"),
+    ("gpl-3", "general public licen|gpl", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( either)?( version| v)? ?3( 0)?", "gpl 3 0( only| or later)?", "gnu org licenses gpl 3 0"),
+    ("gpl", "general public licen|gpl", "(gnu general public license|gnu gpl)", "gpl", "gnu org licenses gpl"),
+    ("lgpl-2", "library general|lgpl", "(gnu )?(library general public license|lgpl)( version| v)? ?2( 0)?(?! 1)", "lgpl 2 0( only| or later)?", "gnu org licenses old licenses lgpl 2 0"),
+    ("lgpl-2.1", "lesser general|lgpl", "(gnu )?(lesser general public license|lgpl)( version| v)? ?2 1", "lgpl 2 1( only| or later)?", "gnu org licenses (old licenses )?lgpl 2 1"),
+    ("lgpl-3", "lesser general|lgpl", "(gnu )?(lesser general public license|lgpl)( version| v)? ?3( 0)?", "lgpl 3 0( only| or later)?", "gnu org licenses lgpl 3 0"),
+    ("agpl-3", "affero|agpl", "(gnu )?(affero general public license|agpl)( version| v)? ?3( 0)?", "agpl 3 0( only| or later)?", "gnu org licenses agpl 3 0"),
+    ("fdl-1.3", "free documentation|fdl", "(gnu )?(free documentation license|fdl|gfdl)( version| v)? ?1 [123]", "gfdl 1 [123]( only| or later)?", "gnu org licenses fdl 1 3"),
+    ("mpl-1.1", "mozilla|mpl", "(mozilla public license|mpl)( version| v)? ?1 1", "mpl 1 1", "mozilla org mpl 1 1"),
+    ("mpl-2", "mozilla|mpl", "(mozilla public license|mpl)( version| v)? ?2( 0)?", "mpl 2 0", "mozilla org (en us )?mpl 2 0"),
+    ("epl-1", "eclipse|epl", "(eclipse public license|epl)( version| v)? ?1( 0)?", "epl 1 0", "eclipse org legal epl v10"),
+    ("epl-2", "eclipse|epl", "(eclipse public license|epl)( version| v)? ?2( 0)?", "epl 2 0", "eclipse org legal epl 2 0"),
+    ("eupl-1.2", "european union|eupl", "(european union public licen[cs]e|eupl)( version| v)? ?1 [012]", "eupl 1 [012]", "joinup ec europa eu (collection )?eupl"),
+    ("cddl-1", "common development|cddl", "(common development and distribution license|cddl)( version| v)? ?1 [01]", "cddl 1 [01]", "opensource org licenses cddl 1 0"),
+    ("cpl-1", "common public|cpl", "(common public license|cpl)( version| v)? ?1( 0)?", "cpl 1 0", "opensource org licenses cpl1 0"),
     ("artistic-2", "artistic", "(perl )?artistic license( version| v)? ?2( 0)?", "artistic 2 0", "opensource org licenses artistic 2 0"),
     ("artistic-1", "artistic", "(perl )?artistic license( version| v)? ?1( 0)?", "artistic 1 0", "opensource org licenses artistic 1 0"),
     ("bsl-1", "boost", "boost( software)? license( version| v)? ?1( 0)?", "bsl 1 0", "boost org license 1 0"),
@@ -56,27 +57,27 @@ NAMES = (
     ("wtfpl", "wtfpl", "wtfpl", "wtfpl", "wtfpl net"),
     ("zlib", "zlib", "zlib( libpng)?", "zlib", "opensource org licenses zlib"),
     ("postgresql", "postgresql", "postgresql", "postgresql", "opensource org licenses postgresql"),
-    ("python-2", "p", "(python software foundation license|psf license|python license)( version| v)? ?2?", "(python|psf) 2 0", "docs python org 3 license"),
+    ("python-2", "python|psf", "(python software foundation license|psf license|python license)( version| v)? ?2?", "(python|psf) 2 0", "docs python org 3 license"),
     ("php-3", "php", "php license( version| v)? ?3( 0[01]?)?", "php 3 0[01]?", "php net license"),
     ("openssl", "openssl", "openssl", "openssl", "openssl org source license"),
-    ("ofl-1.1", "o", "(sil )?(open font license|ofl)( version| v)? ?1 1", "ofl 1 1", "scripts sil org ofl"),
-    ("odbl-1", "o", "(open database license|odbl)( version| v)? ?1?( 0)?", "odbl 1 0", "opendatacommons org licenses odbl"),
-    ("ms-pl", "m", "(microsoft public license|ms pl)", "ms pl", "opensource org licenses ms pl"),
-    ("cc0", "c", "(cc0|cc zero|creative commons zero)( 1 0)?( universal)?", "cc0 1 0", "creativecommons org publicdomain zero 1 0"),
-    ("cc-by", "c", "(cc by|creative commons attribution)(?! nc| sa| nd| non| share| no deriv)( [1-4] 0)?( international| unported)?", "cc by [1-4] 0", "creativecommons org licenses by [1-4] 0"),
-    ("cc-by-sa", "c", "(cc by sa|creative commons attribution share ?alike)( [1-4] 0)?( international| unported)?", "cc by sa [1-4] 0", "creativecommons org licenses by sa [1-4] 0"),
-    ("cc-by-nd", "c", "(cc by nd|creative commons attribution no ?deriv(ative|ative work)?s?)( [1-4] 0)?( international| unported)?", "cc by nd [1-4] 0", "creativecommons org licenses by nd [1-4] 0"),
-    ("cc-by-nc", "c", "(cc by nc|creative commons attribution non ?commercial)(?! sa| nd| share| no ?deriv)( [1-4] 0)?( international| unported)?", "cc by nc [1-4] 0", "creativecommons org licenses by nc [1-4] 0"),
-    ("cc-by-nc-sa", "c", "(cc by nc sa|creative commons attribution non ?commercial share ?alike)( [1-4] 0)?( international| unported)?", "cc by nc sa [1-4] 0", "creativecommons org licenses by nc sa [1-4] 0"),
-    ("cc-by-nc-nd", "c", "(cc by nc nd|creative commons attribution non ?commercial no ?deriv(ative)?s?)( [1-4] 0)?( international| unported)?", "cc by nc nd [1-4] 0", "creativecommons org licenses by nc nd [1-4] 0"),
+    ("ofl-1.1", "open font|ofl", "(sil )?(open font license|ofl)( version| v)? ?1 1", "ofl 1 1", "scripts sil org ofl"),
+    ("odbl-1", "open database|odbl", "(open database license|odbl)( version| v)? ?1?( 0)?", "odbl 1 0", "opendatacommons org licenses odbl"),
+    ("ms-pl", "microsoft public|ms pl", "(microsoft public license|ms pl)", "ms pl", "opensource org licenses ms pl"),
+    ("cc0", "cc0|cc zero|commons zero", "(cc0|cc zero|creative commons zero)( 1 0)?( universal)?", "cc0 1 0", "creativecommons org publicdomain zero 1 0"),
+    ("cc-by", "cc by|commons attribution", "(cc by|creative commons attribution)(?! nc| sa| nd| non| share| no deriv)( [1-4] 0)?( international| unported)?", "cc by [1-4] 0", "creativecommons org licenses by [1-4] 0"),
+    ("cc-by-sa", "cc by|commons attribution", "(cc by sa|creative commons attribution share ?alike)( [1-4] 0)?( international| unported)?", "cc by sa [1-4] 0", "creativecommons org licenses by sa [1-4] 0"),
+    ("cc-by-nd", "cc by|commons attribution", "(cc by nd|creative commons attribution no ?deriv(ative|ative work)?s?)( [1-4] 0)?( international| unported)?", "cc by nd [1-4] 0", "creativecommons org licenses by nd [1-4] 0"),
+    ("cc-by-nc", "cc by|commons attribution", "(cc by nc|creative commons attribution non ?commercial)(?! sa| nd| share| no ?deriv)( [1-4] 0)?( international| unported)?", "cc by nc [1-4] 0", "creativecommons org licenses by nc [1-4] 0"),
+    ("cc-by-nc-sa", "cc by|commons attribution", "(cc by nc sa|creative commons attribution non ?commercial share ?alike)( [1-4] 0)?( international| unported)?", "cc by nc sa [1-4] 0", "creativecommons org licenses by nc sa [1-4] 0"),
+    ("cc-by-nc-nd", "cc by|commons attribution", "(cc by nc nd|creative commons attribution non ?commercial no ?deriv(ative)?s?)( [1-4] 0)?( international| unported)?", "cc by nc nd [1-4] 0", "creativecommons org licenses by nc nd [1-4] 0"),
     ("public-domain", "public domain", "(the )?public domain", "public domain", "creativecommons org publicdomain mark"),
     ("proprietary", "rights reserved", "all rights reserved", "licenseref proprietary", "license proprietary"),
 )
 
-# The form's name, its priority, a keyword of the form, the pattern around {n} (or {s} for the tag, {u} for the address).
+# The form's name, its priority, a keyword of the form (an address has its first two words), the pattern around {n} (or {s} for the tag, {u} for the address).
 FORMS = (
     ("tag", 5, "spdx", "spdx license identifier {s}"),
-    ("address", 4, "org", "{u}"),
+    ("address", 4, "", "{u}"),
     ("grant", 3, "licen", "licen[cs]ed( to you)? under( the)?( terms( and conditions)? of( the)?| conditions of( the)?)? {n}( licen[cs]e)?"),
     ("release", 3, "under", "(released|distributed|available|published|shared|covered|governed|provided)( freely)? (under|by)( the)?( terms of( the)?)? {n}( licen[cs]e)?"),
     ("field", 3, "licen", "licen[cs]es? {n}( licen[cs]e)?"),
@@ -88,7 +89,8 @@ COMMON = ("mit", "mit-0", "isc", "zlib", "openssl", "postgresql", "public-domain
 #: What a place of each priority says for the score.
 CONFIDENCE = {1: 0.6, 2: 0.8, 3: 0.9, 4: 0.95, 5: 1.0}
 BASE_CONFIDENCE = 0.8
-GATE = "licen[cs]|spdx|apache|gnu |gpl|bsd|mozilla|eclipse|creative ?commons|cc by|cc0|public domain|rights reserved|cddl|wtfpl"
+#: A text without any of these is not searched.
+GATE = ("licens", "licenc", "spdx", "apache", "gnu ", "gpl", "bsd", "mozilla", "eclipse", "creative commons", "creativecommons", "cc by", "cc0", "public domain", "rights reserved", "cddl", "wtfpl")
 
 
 class Rule(NamedTuple):
@@ -105,7 +107,8 @@ def rules() -> list[Rule]:
         for label, own, name, tag, address in NAMES:
             if form == "name" and label in COMMON:
                 continue
-            found.append(Rule(label, priority, (key, "" if form in ("tag", "address") else own), around.format(n=f"(?:{name})", s=f"(?:{tag})", u=f"(?:{address})")))
+            named = " ".join(address.split(" ")[:2]) if form == "address" else "" if form == "tag" else own
+            found.append(Rule(label, priority, (key, named), around.format(n=f"(?:{name})", s=f"(?:{tag})", u=f"(?:{address})")))
     return found
 
 
@@ -140,7 +143,9 @@ def _listed(values: list[str], sep: str = "\n") -> Column:
 def detections(words: Column, all_rules: list[Rule] | None = None) -> Column:
     """Detections that stay, as (start, neg_end, neg_priority, rule): places in characters of the words enclosed by spaces."""
     own = rules() if all_rules is None else all_rules
-    first, second, patterns = _listed([r.keywords[0] for r in own]), _listed([r.keywords[1] for r in own]), _listed([rf"(?<= )(?:{r.pattern})(?= )" for r in own])
+    needs = [_listed([r.keywords[k] for r in own]) for k in (0, 1)]
+    keys = _listed(sorted({key for r in own for need in r.keywords for key in need.split("|")}))
+    patterns = _listed([rf"(?<= )(?:{r.pattern})(?= )" for r in own])
     priorities = _listed([str(r.priority) for r in own]).cast("array<int>")
     padded = F.concat(F.lit(" "), words, F.lit(" "))
     kind = "array<struct<start:int,neg_end:int,neg_priority:int,rule:int>>"
@@ -156,8 +161,12 @@ def detections(words: Column, all_rules: list[Rule] | None = None) -> Column:
 
         return let(pieces, lambda p: F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.struct(F.length(p[0]).alias("at"), none.alias("found")), step)["found"])
 
+    def met(need: Column, i: Column, present: Column) -> Column:
+        return F.exists(F.split(F.get(need, i), "\\|"), lambda key: F.array_contains(present, key))
+
     def search(text: Column) -> Column:
-        able = F.filter(F.sequence(F.lit(0), F.lit(len(own) - 1)), lambda i: F.contains(text, F.get(first, i)) & F.contains(text, F.get(second, i)))
+        # Each keyword is looked for once; a rule's pattern runs only if it has one of both its needs.
+        able = let(F.filter(keys, lambda key: F.contains(text, key)), lambda present: F.filter(F.sequence(F.lit(0), F.lit(len(own) - 1)), lambda i: met(needs[0], i, present) & met(needs[1], i, present)))
         return F.array_sort(F.flatten(F.transform(able, lambda i: by_rule(text, i))))
 
     # In order of start, then longest, then highest priority: a place is inside an earlier one if that one's end is no smaller.
@@ -168,7 +177,8 @@ def detections(words: Column, all_rules: list[Rule] | None = None) -> Column:
         return F.struct(F.when(hidden, acc["ends"]).otherwise(ends).alias("ends"), F.when(hidden, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"))
 
     start = F.struct(F.array(*[F.lit(-1)] * 5).alias("ends"), none.alias("kept"))
-    return F.when(F.rlike(words, F.lit(GATE)), let(padded, lambda t: F.aggregate(search(t), start, sweep)["kept"])).otherwise(none)
+    gate = reduce(Column.__or__, (F.contains(words, F.lit(key)) for key in GATE))
+    return F.when(gate, let(padded, lambda t: F.aggregate(search(t), start, sweep)["kept"])).otherwise(none)
 
 
 def scan(docs: DataFrame) -> DataFrame:
