@@ -160,9 +160,9 @@ def licenses_by_hand(text):
                 places.append(i)
                 labels.add(label)
     padded, found = f" {' '.join(words)} ", []
-    if re.search(licenses.GATE, padded.strip()):
+    if any(key in padded.strip() for key in licenses.GATE):
         for k, rule in enumerate(own):
-            if all(x in padded for x in rule.keywords):
+            if all(any(key in padded for key in need.split("|")) for need in rule.keywords):
                 found += [(m.start(), m.end(), rule.priority, k) for m in re.finditer(rf"(?<= )(?:{rule.pattern})(?= )", padded)]
     inside = lambda d, e: e is not d and e[0] <= d[0] and e[1] >= d[1] and (e[2] > d[2] or e[2] == d[2] and (e[:2] != d[:2] or e[3] < d[3]))
     kept = [d for d in found if not any(inside(d, e) for e in found)]
