@@ -14,6 +14,9 @@ from quillmill.functions.text import escape, normalise, raw_hash, strip_comments
 
 # What a fingerprint leaves out, what an extraction leaves out.
 HIDDEN, DISCARDED = ("script", "style"), ("script", "style", "noscript", "iframe")
+# The form of an extracted document, by language, escaped title, heading and content; and of the heading.
+DOCUMENT = '<!doctype html>\n<html lang="%s">\n<head>\n<meta charset="utf-8">\n<title>%s</title>\n</head>\n<body>\n%s<div class="content">\n%s\n</div>\n</body>\n</html>\n'
+HEADING = "<h1>%s</h1>\n"
 
 # --- native
 
@@ -62,11 +65,8 @@ def extraction(html: Column, content: str, title: str, language: Column) -> Colu
     inside = F.coalesce(own, fallback)
     text = normalise(decoded(F.regexp_replace(inside, "(?s)<[^>]*>", " ")))
     named = F.coalesce(head, F.lit(""))
-    heading = F.when(named != "", F.concat(F.lit("<h1>"), escape(named), F.lit("</h1>\n"))).otherwise("")
-    document = F.concat(
-        F.lit('<!doctype html>\n<html lang="'), escape(language), F.lit('">\n<head>\n<meta charset="utf-8">\n<title>'), escape(named), F.lit("</title>\n</head>\n<body>\n"),
-        heading, F.lit('<div class="content">\n'), F.regexp_replace(inside, r"^\s+|\s+$", ""), F.lit("\n</div>\n</body>\n</html>\n"),
-    )
+    heading = F.when(named != "", F.format_string(HEADING, escape(named))).otherwise("")
+    document = F.format_string(DOCUMENT, escape(language), escape(named), heading, F.regexp_replace(inside, r"^\s+|\s+$", ""))
     flagged = F.array_compact(F.array(F.when(own.isNull(), F.lit("extraction_fallback")), F.when(text == "", F.lit("extraction_failed"))))
     return F.struct(
         F.encode(document, "UTF-8").alias("html"), head.alias("title"), F.length(text).cast("bigint").alias("text_chars"),

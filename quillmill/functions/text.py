@@ -18,7 +18,10 @@ EXTENSIONS = {
     "text/plain": "txt",
 }
 UNKNOWN = "bin"
-#: Declared counts: the total's group 1, and the sentence of an empty range, in either case.
+# What a name may not hold, and what is escaped in HTML.
+UNSAFE, REPEATED = "[^A-Za-z0-9._-]+", "-{2,}"
+ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"))
+# Declared counts, the total in group 1, and the sentence of an empty range, in either case.
 TOTAL, NO_RESULTS = r"of\s+(\d+)\s+results", r"(?i)no\s+search\s+results"
 
 
@@ -29,7 +32,7 @@ def normalise(text: Column) -> Column:
 
 def slug(identifier: Column) -> Column:
     """Upper-case name safe for files and keys: runs of other signs are one hyphen, none at the ends."""
-    hyphened = F.regexp_replace(F.regexp_replace(normalise(identifier), "[^A-Za-z0-9._-]+", "-"), "-{2,}", "-")
+    hyphened = F.regexp_replace(F.regexp_replace(normalise(identifier), UNSAFE, "-"), REPEATED, "-")
     return F.upper(F.regexp_replace(hyphened, "^-+|-+$", ""))
 
 
@@ -104,7 +107,7 @@ def url_suffix(url: Column) -> Column:
 def escape(text: Column) -> Column:
     """HTML-escaped, quotes too."""
     out = text
-    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+    for plain, entity in ESCAPES:
         out = F.replace(out, F.lit(plain), F.lit(entity))
     return out
 

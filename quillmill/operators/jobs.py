@@ -99,8 +99,8 @@ def derive(spark: SparkSession, spec: Spec, zones: Zones, start: date, end: date
     current = read(spark, zones.transformed, schemas.TRANSFORMED)
     compared = transform.compared(source, current, list(transform.IDENTITY))
     # Only changed documents meet their bytes.
-    objects = read(spark, zones.landing_objects, schemas.LANDING_OBJECT).select("object_key", F.make_valid_utf8(F.col("body").cast("string")).alias("body"), F.col("body").alias("bytes"))
-    changed = compared.filter("outcome <> 'unchanged'").join(objects, "object_key", "left")
+    objects = read(spark, zones.landing_objects, schemas.LANDING_OBJECT)
+    changed = transform.with_bodies(compared.filter("outcome <> 'unchanged'"), objects).withColumn("body", F.make_valid_utf8(F.col("bytes").cast("string")))
     missing = F.col("bytes").isNull()
     flagged = changed.withColumn("outcome", F.when(missing, "failed").otherwise(F.col("outcome"))).withColumn("reason", F.when(missing, "NoSuchKey"))
     made = transform.extracted(flagged.drop("file_size"), spec.content, spec.title or "h1")

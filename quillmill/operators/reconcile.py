@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Outcomes that are counted, with the column each becomes.
+# Outcomes that are counted, with the report's column for each.
 COUNTED = {
     "scraped": "records_scraped", "skipped": "records_skipped", "degraded": "records_degraded", "duplicate": "records_duplicate", "reused": "identifiers_reused", "downloaded": "documents_downloaded",
     "download_failed": "downloads_failed", "stored": "documents_stored", "unchanged": "documents_unchanged", "store_failed": "stores_failed", "failure": "failures",

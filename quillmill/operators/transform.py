@@ -44,6 +44,11 @@ def compared(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(old, key, "left").withColumn("outcome", outcome).drop("__hash")
 
 
+def with_bodies(rows: DataFrame, objects: DataFrame) -> DataFrame:
+    """rows with the bytes of their objects; a lost object leaves null, so that it is a failure of its row alone."""
+    return rows.join(objects.select("object_key", F.col("body").alias("bytes")), "object_key", "left")
+
+
 def stale_paths(rows: DataFrame) -> DataFrame:
     """Paths of renamed documents, whose old objects go."""
     return rows.filter(F.col("old_path").isNotNull() & (F.col("old_path") != F.col("file_path"))).select("old_path", "file_path", text.key_of_path(F.col("old_path")).alias("stale_key"))

@@ -12,6 +12,9 @@ from quillmill.plans.spec import Spec
 #: Strategies by name: whether pages are known from a count, or found one by one.
 STRATEGIES = {"declared_total": True, "follow_next": False}
 
+# What can be wrong with a page's continuation.
+CAPPED, UNDERRUN, LOOP, NO_PROGRESS = "pagination_recovery_capped", "pagination_underrun", "pagination_loop", "pagination_no_progress"
+
 
 def strategy(name: str) -> bool:
     if name not in STRATEGIES:
@@ -71,8 +74,8 @@ def continuations(pages: DataFrame) -> DataFrame:
     loop = follows & F.array_contains(F.array_union(F.col("urls_fetched"), F.array("base_url")), target)
     stuck = follows & ~loop & (F.col("page") > 1) & (F.col("new_records") == 0)
     anomalies = F.array_compact(F.array(
-        F.when(capped, F.lit("pagination_recovery_capped")), F.when(known & follows & ~recovering, F.lit("pagination_underrun")),
-        F.when(loop, F.lit("pagination_loop")), F.when(stuck, F.lit("pagination_no_progress")),
+        F.when(capped, F.lit(CAPPED)), F.when(known & follows & ~recovering, F.lit(UNDERRUN)),
+        F.when(loop, F.lit(LOOP)), F.when(stuck, F.lit(NO_PROGRESS)),
     ))
     depth = F.when(known & follows, F.col("recovery_depth") + 1).when(capped, F.col("recovery_depth")).otherwise(0)
     return pages.select("*", F.when(follows & ~loop & ~stuck, target).alias("next_url"), depth.cast("int").alias("depth"), anomalies.alias("anomalies"))

@@ -282,6 +282,22 @@ def page_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("no_progress", later & (F.col("new_records") == 0))
 
 
+@query(f"""{_BATCHES} SELECT new.doc_id, old.doc_id AS earlier_doc, CAST(strlen(d.text) AS BIGINT) AS body_bytes FROM new JOIN (SELECT file_hash, min(doc_id) AS doc_id FROM old GROUP BY 1) old USING (file_hash) JOIN documents d ON d.doc_id = old.doc_id""")
+def object_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the bytes of the object that an earlier batch stored under their key."""
+    old, new = (b.withColumnRenamed("file_hash", "object_key") for b in _batches(spark, sf_dir))
+    first = old.groupBy("object_key").agg(F.min("doc_id").alias("earlier_doc"))
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("earlier_doc"), F.encode("text", "UTF-8").alias("body"))
+    found = transform.with_bodies(new, first.join(texts, "earlier_doc")).filter("bytes is not null").join(first, "object_key")
+    return found.select("doc_id", "earlier_doc", F.octet_length("bytes").cast("bigint").alias("body_bytes"))
+
+
+@query("""WITH v AS (SELECT user_id, event_type AS url, count(*) AS n FROM events GROUP BY 1, 2) SELECT user_id, url, n FROM v WHERE n > 1""")
+def visited_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that a walk met more than once: what a loop guard would have stopped at."""
+    return table(spark, sf_dir, "events").groupBy("user_id", F.col("event_type").alias("url")).agg(F.count("*").alias("n")).filter("n > 1")
+
+
 # --- transform
 
 
