@@ -17,6 +17,8 @@ HIDDEN, DISCARDED = ("script", "style"), ("script", "style", "noscript", "iframe
 # The form of an extracted document, by language, escaped title, heading and content; and of the heading.
 DOCUMENT = '<!doctype html>\n<html lang="%s">\n<head>\n<meta charset="utf-8">\n<title>%s</title>\n</head>\n<body>\n%s<div class="content">\n%s\n</div>\n</body>\n</html>\n'
 HEADING = "<h1>%s</h1>\n"
+# Fixed value: a server's comment on how long a page took, or that it was kept.
+MARKER = r"<!-- (Elapsed time: [0-9.]+|cached[^>]*) -->"
 
 # --- native
 
@@ -27,6 +29,11 @@ def without(html: Column, tags: tuple[str, ...] = HIDDEN) -> Column:
     return F.regexp_replace(bare, rf"(?is)<({'|'.join(tags)})\b[^>]*>.*?</\1\s*>", "")
 
 
+def marker(html: Column, pattern: str = MARKER) -> Column:
+    """The server's own note of how a page was made, in its comments; null without one."""
+    return F.when(F.rlike(html, F.lit(pattern)), F.regexp_extract(html, pattern, 1))
+
+
 def inner(html: Column, tag: str) -> Column:
     """What the first element of the tag encloses; null without one. Right for tags that do not nest."""
     pattern = rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"

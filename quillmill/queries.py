@@ -184,6 +184,12 @@ def comment_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", X.raw_hash(X.strip_comments(F.encode("html", "UTF-8"))).alias("bare_sha256"))
 
 
+@query("""SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'Elapsed time: 0.5' WHEN 1 THEN 'cached at 12:00' END AS marker FROM pages""")
+def timing_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    note = F.when(F.col("page_id") % 3 == 0, "<!-- Elapsed time: 0.5 -->").when(F.col("page_id") % 3 == 1, "<!-- cached at 12:00 -->").otherwise("<!-- other -->")
+    return table(spark, sf_dir, "pages").select("page_id", H.marker(F.concat("html", note)).alias("marker"))
+
+
 # --- landing
 
 
