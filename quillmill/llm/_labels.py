@@ -21,10 +21,10 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """(doc_id, text, y) of labelled rows outside the held-out fold, `most` of them or a few more, chosen by a hash of the id.
 
-    Ids with a null or with differing labels are left out, repeated equal labels count once. The ids are a
+    Labels other than 0 and 1, and ids that are null or have both, are left out; repeated equal labels count once. The ids are a
     broadcast whose size `most` bounds; texts stay where they are read.
     """
-    known = labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col(label).cast("double").alias("y")).filter("id is not null and y is not null")
+    known = labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col(label).cast("double").alias("y")).filter("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("also")).filter("y = also").filter(fold(F.col("id")) != 0)
     n = known.count()
     if n > most:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 U64 = np.uint64
 #: Odd multipliers, so that they have an inverse modulo 2**64.
@@ -21,6 +22,24 @@ WORD = np.zeros(256, dtype=bool)
 WORD[48:58] = WORD[97:123] = WORD[128:] = True
 
 
+#: Rows of an Arrow batch of texts; a batch is held at once by Spark, outside its heap, and by Python.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """df, with its session set to batches of BATCH_ROWS rows at most; texts are large rows, for which Spark's own number is too high."""
+    session = df.sparkSession
+    if not 0 < int(session.conf.get(_BATCH)) <= BATCH_ROWS:
+        session.conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
+#: All bytes but white space.
+VISIBLE = np.ones(256, dtype=bool)
+VISIBLE[[9, 10, 11, 12, 13, 32]] = False
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the offsets of its rows; null reads as empty."""
     if column.null_count:
@@ -46,9 +65,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             i = j
 
 
-def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word of lower-cased bytes; words do not cross rows."""
-    is_word = WORD[data]
+def word_spans(data: np.ndarray, at: np.ndarray, kind: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each run of bytes of a kind (words of lower-cased bytes); runs do not cross rows."""
+    is_word = kind[data]
     if not is_word.any():
         none = np.zeros(0, np.int64)
         return none, none, none

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmill.llm._store import written
-from quillmill.llm._text import slices, text_buffers
+from quillmill.llm._text import in_batches, slices, text_buffers
 
 #: Bytes that decide a cut, zero bits at one, least bytes after the candidate before, most bytes of a chunk.
 WINDOW, MASK_BITS, LEAST, MOST = 16, 4, 8, 256
@@ -94,7 +94,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             ]
             yield pa.record_batch([pa.array(c) for c in columns], names=["doc_id", "row", "place", "start", "size", "words", "digest"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null").mapInArrow(run, CHUNKS)
+    return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null").mapInArrow(run, CHUNKS)
 
 
 def passages(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
@@ -131,7 +131,7 @@ def _parts(docs: DataFrame, run_words: int) -> DataFrame:
 def deduplicated(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """docs without the copies of repeated passages; columns stay as they are, n_chars is counted anew where text went."""
     copies = _parts(docs, run_words).filter("copy").groupBy(F.col("doc_id").alias("__of"), F.col("row").alias("__row")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    hashed = docs.mapInArrow(_with_row(docs.columns.index("text")), T.StructType([*docs.schema.fields, T.StructField("__text", T.IntegerType())]))
+    hashed = in_batches(docs).mapInArrow(_with_row(docs.columns.index("text")), T.StructType([*docs.schema.fields, T.StructField("__text", T.IntegerType())]))
     joined = hashed.join(copies, (F.col("doc_id").cast("bigint") == F.col("__of")) & (F.col("__text") == F.col("__row")), "left")
     text = F.col("text")
 

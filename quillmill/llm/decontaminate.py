@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm._text import LOWER, slices, text_buffers, window_hashes, word_hashes, word_spans
+from quillmill.llm._text import LOWER, in_batches, slices, text_buffers, window_hashes, word_hashes, word_spans
 
 WINDOW = 13
 #: The most benchmark text behind one broadcast. 16 MB are about 3 million windows: 100 MB in an executor's Python.
@@ -106,9 +106,9 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
                 n, h, k, d = (list(x) for x in zip(*rows, strict=True))
                 yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(h, pa.int64()), pa.array(k, pa.int64()), pa.array(d, pa.string()), pa.array([b > 0 and share * b >= a for a, b in zip(n, h, strict=True)], pa.bool_())], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-        return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(whole, REPORT)
+        return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(whole, REPORT)
     # One row per document and block; documents without id are told apart by their digest, equal rows by their number.
-    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("row_key"))
+    keyed = in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("row_key"))
     parts = None
     for k, block in enumerate(blocks):
         part = keyed.mapInArrow(_partial(block, k == 0), _PART)
@@ -155,7 +155,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
     counted anew for texts that changed. Texts without hits, null texts among them, stay byte for byte. A benchmark
     of several blocks is cut block by block, and a document goes if one block alone or what is left of it says so.
     """
-    out = docs
+    out = in_batches(docs)
     for index in _shared(docs.sparkSession, benchmark, window, block_bytes):
         out = out.mapInArrow(_cutter(index, share, docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None), docs.schema)
     return out

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmill.llm._store import written
-from quillmill.llm._text import slices
+from quillmill.llm._text import in_batches, slices
 
 WINDOW = 4096
 END = 2
@@ -33,7 +33,7 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 # --- token ids
 
 #: Words of a generation that a Python worker keeps with their ids.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 #: Characters whose normal form, class and lower case are plain: of others the library's own normaliser is asked.
 _PLAIN = "\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ÿ¡¿«»‘’“”–—…•€©®°"
 _ODD = re.compile(f"[^{_PLAIN}]")
@@ -117,7 +117,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, end: int = END, tokenizer: str
             columns = list(zip(*rows, strict=True))
             yield pa.record_batch([pa.array(c, pa.int32() if k == 5 else pa.int64()) for k, c in enumerate(columns)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, PIECES)
+    return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
 # --- the plan

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm._text import slices
+from quillmill.llm._text import in_batches, slices
 
 # --- fixed patterns
 
@@ -343,7 +343,7 @@ def scan(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
             columns = list(zip(*rows, strict=True))
             yield pa.record_batch([part.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]), *(pa.array(c, pa.string()) for c in columns[4:])], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCAN)
+    return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCAN)
 
 
 def redact(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
@@ -372,4 +372,4 @@ def redact(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
                     part = part.set_column(count, part.schema.field(count), pa.array(counts, part.column(count).type))
             yield part
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)

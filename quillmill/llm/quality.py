@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm._labels import held_out, sample
-from quillmill.llm._text import BYTE_BASE, LOWER, U64, WORD, mix, slices, span_hashes, text_buffers
+from quillmill.llm._text import BYTE_BASE, LOWER, U64, WORD, in_batches, mix, slices, span_hashes, text_buffers
 
 BITS = 18
 #: Labelled rows to fit on, and rows a shard has on average.
@@ -110,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
                     leader.learn(i, x, y)
             yield pa.record_batch([pa.array([len(rows)]), pa.array([sum(r[1] for r in rows)]), pa.array([leader.weights(slice(None)).tobytes()])], names=["n", "ones", "weights"])
 
-    chosen = sample(docs, labels, label, most).withColumn("order", F.xxhash64("doc_id", "text"))
+    chosen = sample(in_batches(docs), labels, label, most).withColumn("order", F.xxhash64("doc_id", "text"))
     shards = max(1, most // SHARD_ROWS)
     known = chosen.select("text", "y", "order").repartition(shards, F.pmod("order", F.lit(shards))).mapInArrow(lead, "n bigint, ones double, weights binary").collect()
     rows, ones = sum(r.n for r in known), sum(r.ones for r in known)
@@ -131,7 +131,7 @@ def score(docs: DataFrame, weights: np.ndarray | None, threshold: float = THRESH
             p = 1 / (1 + np.exp(-np.clip(dot, -30, 30)))
             yield pa.record_batch([part.column(0), part.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    known = in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return known.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
 
 

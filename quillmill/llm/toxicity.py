@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quillmill.llm._labels import held_out, sample
 from quillmill.llm._store import written
-from quillmill.llm._text import slices
+from quillmill.llm._text import in_batches, slices
 
 MOST_LABELLED = 16_384
 THRESHOLD = 0.5
@@ -206,7 +206,7 @@ DEFAULT_CURVE = np.array([-4.0, 2.5, 0.0])
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MOST_LABELLED) -> tuple[dict[str, float], np.ndarray]:
     """The lexicon and the curve, from a sample of `most` labelled rows outside the held-out fold."""
     terms = {f" {w} ": SEED_WEIGHT for w in SEEDS.split()}
-    chosen = written(sample(docs, labels, label, most), "labelled")  # as large as `most` rows; all texts are read once for it
+    chosen = written(sample(in_batches(docs), labels, label, most), "labelled")  # as large as `most` rows; all texts are read once for it
     terms |= _learned(chosen)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +244,7 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], threshold
             p = probabilities(part.column(2))
             yield pa.record_batch([part.column(0), part.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    known = in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return known.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
 
 
@@ -258,7 +258,7 @@ def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], threshold:
         for part in slices(batches, "text"):
             yield part.filter(pa.array(probabilities(part.column(at)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, most: int = MOST_LABELLED) -> DataFrame:
