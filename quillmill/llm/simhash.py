@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import acos, pi
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quillmill.llm._components import components
 from quillmill.llm._store import written
-from quillmill.llm._text import slices
+from quillmill.llm._text import LOWER, U64, VISIBLE, WORD_BASE, in_batches, mix, slices, span_hashes, text_buffers, word_hashes, word_spans
 
 SHINGLE = 3
 SEED = 42
@@ -68,17 +69,63 @@ def fingerprint_array(texts: list[bytes], size: int = SHINGLE, seed: int = SEED)
     return out
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and fingerprint (bigint, the 64 bits) of each row; null and wordless texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int | None = None) -> DataFrame:
+    """doc_id and fingerprint (bigint, the 64 bits) of each row; null and wordless texts have fingerprint zero.
+
+    With words, the wide fingerprints of words and of shingles of so many words follow.
+    """
+    names = ["doc_id", "fp", *(_WIDE if words else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             column = part.column(1)
             texts = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
             found = fingerprint_array([x or b"" for x in texts], size, seed)
-            yield pa.record_batch([part.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            wide = wide_fingerprints(column, words) if words else []
+            yield pa.record_batch([part.column(0), pa.array(found.view(np.int64)), *(pa.array(w.view(np.int64)) for w in wide)], names=names)
+
+    return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
+
+
+# --- wide fingerprints
+
+#: Words of a shingle, and 64-bit parts of a wide fingerprint.
+WORDS, PARTS = 5, 4
+#: Differing bits of wide fingerprints of shingles, in standard deviations from what a similarity lets expect: below
+#: the first a pair is similar, beyond the second it is not, between them the shingles themselves are compared.
+SURE, MAYBE = -2.5, 3.0
+_WIDE = [f"{kind}{k}" for kind in ("u", "s") for k in range(PARTS)]
+
+
+def _majority(hashes: np.ndarray, at: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """PARTS SimHashes of runs of hashes that begin at `at` and have n members each, n > 0."""
+    out = []
+    for k in range(PARTS):
+        bits = np.unpackbits(mix(hashes + U64(0x632BE59BD9B4E019 * (k + 1) & (1 << 64) - 1)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sums = np.add.reduceat(bits, at, axis=0, dtype=np.int64)
+        out.append(np.packbits(2 * sums > n[:, None], axis=1, bitorder="little").view("<u8").ravel())
+    return out
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+
+def wide_fingerprints(column: pa.Array, words: int = WORDS) -> np.ndarray:
+    """2 x PARTS words of 64 bits for each row: SimHashes of its words, then of its shingles; zero without words."""
+    raw, at = text_buffers(column)
+    data = LOWER[raw]
+    starts, ends, rows = word_spans(data, at, VISIBLE)
+    out = np.zeros((2 * PARTS, len(at) - 1), dtype=np.uint64)
+    if not len(starts):
+        return out
+    hashes = word_hashes(data, starts, ends)
+    first = np.searchsorted(rows, np.arange(len(at)))
+    n = np.diff(first)
+    full = np.flatnonzero(n)
+    out[:PARTS, full] = _majority(hashes, first[full], n[full])
+    size = np.minimum(n[full], words)
+    count = n[full] - size + 1
+    begin = np.repeat(first[full] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    shingles = span_hashes(hashes, begin, begin + np.repeat(size, count), WORD_BASE)
+    out[PARTS:, full] = _majority(shingles, np.cumsum(count) - count, count)
+    return out
 
 
 # --- anchors
@@ -228,40 +275,152 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
                 for who, anchor, home in anchors(own[i : i + 4096], bits):
                     yield pa.record_batch([pa.array(anchor.astype(np.int32)), pa.array(own[i : i + 4096][who].view(np.int64)), pa.array(np.full(len(who), home))], names=["anchor", "fp", "home"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    def compare(anchor: np.ndarray, own: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _compare(anchor, own.view(np.uint64), home, bits)
+
+    copies = fps.select("fp").mapInArrow(copy, "anchor int, fp bigint, home boolean")
+    return copies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_in_runs(compare), "a bigint, b bigint")
+
+
+def _in_runs(compare):
+    """For mapInArrow over rows sorted by their first column: compare(columns) on runs of whole groups, as pairs (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
         rows = 0
 
-        def emit(parts: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = _compare(*parts, bits)
+        def emit(columns: list[np.ndarray]) -> pa.RecordBatch:
+            a, b = compare(*columns)
             return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
         for batch in batches:
-            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy(zero_copy_only=False)))
+            held.append(tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns))
             rows += batch.num_rows
             if rows >= RUN_ROWS and batch.num_rows:
                 whole = [np.concatenate(x) for x in zip(*held, strict=True)]
-                cut = int(np.searchsorted(whole[0], whole[0][-1]))  # the last anchor may go on
+                cut = int(np.searchsorted(whole[0], whole[0][-1]))  # the last group may go on
                 if cut:
                     yield emit([x[:cut] for x in whole])
                 held, rows = [tuple(x[cut:] for x in whole)], len(whole[0]) - cut
         if rows:
             yield emit([np.concatenate(x) for x in zip(*held, strict=True)])
 
-    copies = fps.select("fp").mapInArrow(copy, "anchor int, fp bigint, home boolean")
-    return copies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(compare, "a bigint, b bigint")
+    return run
+
+
+#: Golay blocks of a wide fingerprint of words; each pair of blocks is a table of anchors.
+BLOCKS = 10
+#: Bits in which the first 64 of two candidates' words may differ.
+NEAR = 16
+
+
+def _neighbours(anchor: np.ndarray, fps: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates of each anchor: its fingerprints in order of their words' bits, each with the one before and with the first; at most two a row."""
+    order = np.lexsort((first, anchor))
+    anchor, fps, first = anchor[order], fps[order], first[order].view(np.uint64)
+    start = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+    head = np.flatnonzero(start)[np.cumsum(start) - 1]
+    here = np.flatnonzero(~start)
+    left, right = np.concatenate((here - 1, head[here])), np.concatenate((here, here))
+    near = (fps[left] != fps[right]) & (np.bitwise_count(first[left] ^ first[right]) <= NEAR)
+    pairs = np.stack((np.minimum(fps[left], fps[right])[near], np.maximum(fps[left], fps[right])[near]), axis=1)
+    pairs = np.unique(pairs, axis=0)
+    return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
 
 
-def near_duplicates(docs: DataFrame, bits: int = BITS, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b, apart) of fingerprints (fp, with their wide ones) that meet in an anchor, with the bits in which their shingles differ.
+
+    Anchors are the codeword pairs that two blocks of the words' wide fingerprint decode to, for each pair of blocks:
+    texts that share most words meet in several. Each row has two candidates an anchor at most, whatever the
+    anchor's size.
+    """
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, mask = golay(), U64((1 << LENGTH) - 1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = [c.to_numpy() for c in batch.slice(at, 4096).columns]
+                words = [x.view(np.uint64) for x in part[1:]]
+                blocks = []
+                for k in range(BLOCKS):
+                    word, shift = divmod(k * LENGTH, 64)
+                    value = words[word] >> U64(shift)
+                    if shift + LENGTH > 64:
+                        value = value | words[word + 1] << U64(64 - shift)
+                    blocks.append(code.near((value & mask).astype(np.int64), 0)[1])
+                anchor = np.concatenate([(q << 2 * DIMENSION | blocks[i] << DIMENSION | blocks[j]).astype(np.int32) for q, (i, j) in enumerate(combinations(range(BLOCKS), 2))])
+                n = BLOCKS * (BLOCKS - 1) // 2
+                yield pa.record_batch([pa.array(anchor), pa.array(np.tile(part[0], n)), pa.array(np.tile(part[1], n))], names=["anchor", "fp", "first"])
+
+    copies = nodes.select("fp", *_WIDE[:PARTS]).mapInArrow(copy, "anchor int, fp bigint, first bigint")
+    met = copies.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_in_runs(_neighbours), "a bigint, b bigint").distinct()
+    side = lambda name: nodes.select(F.col("fp").alias(name), F.struct(*_WIDE[PARTS:]).alias(f"{name}_wide"))
+    apart = sum((F.bit_count(F.col("a_wide")[w].bitwiseXOR(F.col("b_wide")[w])) for w in _WIDE[PARTS:]), F.lit(0))
+    return met.join(side("a"), "a").join(side("b"), "b").select("a", "b", apart.alias("apart"))
+
+
+def _shingles(docs: DataFrame, words: int) -> DataFrame:
+    """fp and the distinct shingle hashes of documents (fp, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            raw, at = text_buffers(part.column(1))
+            data = LOWER[raw]
+            starts, ends, rows = word_spans(data, at, VISIBLE)
+            hashes, first = word_hashes(data, starts, ends), np.searchsorted(rows, np.arange(len(at)))
+            found = []
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                begin = np.arange(a, max(a + 1, b - words + 1)) if b > a else np.arange(0)
+                found.append(np.unique(span_hashes(hashes[a:b], begin - a, np.minimum(begin - a + words, b - a), WORD_BASE)).view(np.int64))
+            yield pa.record_batch([part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["fp", "shingles"])
+
+    return docs.mapInArrow(run, "fp bigint, shingles array<bigint>")
+
+
+def similar(docs: DataFrame, nodes: DataFrame, known: DataFrame, similarity: float, words: int = WORDS) -> DataFrame:
+    """known edges (a, b) between fingerprints, and those between texts whose shingles have this Jaccard similarity or more.
+
+    nodes has for each fingerprint the document (id) that stands for it and its wide fingerprints. Pairs for which
+    these decide are taken as they say; of the others those that are not connected yet are compared shingle by
+    shingle, so that a large group of copies has few of them.
+    """
+    share = acos(2 * similarity / (1 + similarity)) / pi
+    spread = (64 * PARTS * share * (1 - share)) ** 0.5
+    low, high = (round(64 * PARTS * share + k * spread) for k in (SURE, MAYBE))
+    pairs = written(_candidates(nodes).filter(F.col("apart") <= high), "pairs")
+    sure = written(known.unionByName(pairs.filter(F.col("apart") <= low).select("a", "b")), "sure")
+    roots = written(components(sure), "roots")
+    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+    open_ = pairs.filter(F.col("apart") > low).join(root("a"), "a", "left").join(root("b"), "b", "left").filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+    open_ = written(open_, "open")
+    asked = open_.select(F.col("a").alias("fp")).unionByName(open_.select(F.col("b").alias("fp"))).distinct().join(nodes.select("fp", "id"), "fp")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(asked, "id").select("fp", F.coalesce("text", F.lit("")).alias("text"))
+    sets = written(_shingles(texts, words).groupBy("fp").agg(F.min("shingles").alias("shingles")), "shingles")
+    side = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"{name}_set"))
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    good = both >= similarity * (F.size("a_set") + F.size("b_set") - both)
+    return sure.unionByName(open_.join(side("a"), "a").join(side("b"), "b").filter((both > 0) & good).select("a", "b"))
+
+
+def near_duplicates(docs: DataFrame, bits: int = BITS, size: int = SHINGLE, seed: int = SEED, similarity: float | None = None, words: int = WORDS) -> DataFrame:
     """Per document row: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable).
 
+    Fingerprints at `bits` or fewer differing bits are linked. With a similarity, so are texts whose shingles of
+    `words` words are that similar (see similar); documents without id have no part in that.
+
     Null, empty and wordless texts share fingerprint zero and are linked like any other. Repeated rows each get a
     row. A document without id counts for links but never names a component (null if none of it has an id).
     Other columns are ignored, whatever their names; an empty table gives no rows.
     """
-    prints = written(fingerprints(docs, size, seed), "fingerprints")
+    prints = written(fingerprints(docs, size, seed, words if similarity else None), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(nodes, bits))
+    edges = links(nodes, bits)
+    if similarity:
+        # Texts of one fingerprint are linked already, so the one with the smallest id stands for all.
+        wide = prints.filter("doc_id is not null").groupBy("fp").agg(F.min(F.struct("doc_id", *_WIDE)).alias("w")).select("fp", F.col("w.doc_id").alias("id"), *(f"w.{c}" for c in _WIDE))
+        edges = similar(docs, written(wide, "wide"), edges, similarity, words)
+    roots = components(edges)
     named = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
     classes = named.join(smallest, F.col("root") == F.col("of")).select(F.col("fp").alias("node"), "component_id")
