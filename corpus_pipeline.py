@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from quillmill.llm import decontaminate, packing, secret_scan, simhash, toxicity
 from quillmill.llm._store import written
 
+#: Jaccard similarity of five-word shingles from which on texts are near copies, beside those at two bits or fewer.
+SIMILARITY = 0.8
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the smallest id. Rows without id stay; of rows with one id the least by all columns stays."""
     known = docs.filter("doc_id is not null")
-    classes = simhash.near_duplicates(known)
+    classes = simhash.near_duplicates(known, similarity=SIMILARITY)
     ids = classes.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("n"))
     ids = written(ids, "kept")
     single = known.join(ids.filter("n = 1"), F.col("doc_id") == F.col("__kept"), "left_semi")
