@@ -422,6 +422,49 @@ def test_links_of_dense_fingerprints(spark, monkeypatch, crowded):
     assert {(r.node, r.root) for r in linked} == {(r.node, r.root) for r in roots}
 
 
+def edited(rng, text, edits):
+    own = text.split()
+    for _ in range(edits):
+        own[rng.randrange(len(own))] = words(rng, 1)
+    return " ".join(own)
+
+
+def test_similar_texts(spark, documents, odd, none):
+    rng, rows = random.Random(8), texts(documents)
+    for k in range(60):
+        base = words(rng, rng.randint(60, 300))
+        rows += [(10_000 + 10 * k + e, edited(rng, base, e * len(base.split()) // 100)) for e in range(5)]
+    shingles = {}
+    for doc, text in rows:
+        own = (text or "").translate(LOWER).split()
+        shingles[doc] = {tuple(own[i : i + 5]) for i in range(len(own) - 4)} or {tuple(own)}
+    prints = {d: simhash_by_hand(t) for d, t in rows}
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), similarity=0.8).collect()}
+    alike = lambda a, b: len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])
+    ids = sorted(shingles)
+    right = {(a, b) for i, a in enumerate(ids) for b in ids[:i] if (prints[a] ^ prints[b]).bit_count() <= 2 or alike(a, b)}
+    assert sum(found[a] == found[b] for a, b in right) >= 0.97 * len(right) and len(right) > 150
+    parent = {d: d for d in ids}
+
+    def find(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for a, b in right:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert all(find(d) == find(c) for d, c in found.items())
+    assert Counter(map(tuple, simhash.near_duplicates(odd, similarity=0.8).collect())) == Counter(map(tuple, simhash.near_duplicates(odd).collect()))
+    assert simhash.near_duplicates(none, similarity=0.8).count() == 0
+
+
+def test_candidates_are_two_a_row_at_most():
+    rng = np.random.default_rng(3)
+    anchor, fps = np.repeat(np.arange(20), 500), rng.integers(-(2**63), 2**63 - 1, 10_000)
+    a, b = simhash._neighbours(anchor, fps, np.zeros(10_000, dtype=np.int64))
+    assert len(a) <= 2 * len(fps) and (a < b).all() and set(a) | set(b) == set(fps)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (100, 100), (200, 205), (205, 203), (203, 200), (7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}

@@ -21,7 +21,7 @@ def test_stages_one_by_one(spark, documents, benchmark, labels):
             assert gone == {r.doc_id for r in scores if r.predicted} and gone
             assert all(kept[d] == were[d] for d in kept)
         elif name == "simhash":
-            classes = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+            classes = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, similarity=P.SIMILARITY).collect()}
             assert kept.keys() == set(classes.values()) and gone and all(kept[d] == were[d] for d in kept)
         elif name == "decontamination":
             report = {r.doc_id: r for r in decontaminate.report(docs, benchmark).collect()}
