@@ -59,7 +59,7 @@ def ingest(spark: SparkSession, spec: Spec, listing: DataFrame, bodies: DataFram
     good = told.filter(readable).select("url").distinct()
     rows = pages.listing_rows(listing.join(good, "url", "left_semi"), spec.contract).withColumn("source_row", F.col("row_pos"))
     usable = landing.first_sightings(rows.filter("reason is null"))
-    reused = landing.reuse_flags(usable.filter("first").drop("first")).join(F.broadcast(spec.facet_table(spark)), "facet_id")
+    reused = landing.reuse_flags(rows.filter("reason is null")).join(F.broadcast(spec.facet_table(spark)), "facet_id")
     month = F.to_date("partition_key", "yyyy-MM") if size == "month" else F.to_date(F.regexp_extract("partition_key", r"^\d{4}", 0), "yyyy")
     recorded = records.from_listing(reused.withColumn("partition_date", month), spec)
     fetched = pages.documents(recorded, bodies)
@@ -68,10 +68,10 @@ def ingest(spark: SparkSession, spec: Spec, listing: DataFrame, bodies: DataFram
     store = read(spark, zones.landing, schemas.LANDING)
     known = read(spark, zones.landing_objects, schemas.LANDING_OBJECT)
     done = made.filter("outcome = 'downloaded'")
-    order = [F.asc("partition_key"), F.asc("doc_url")]
+    order = ["partition_key", "doc_url"]
     put = landing.objects(done, known, order).filter("written")
     put.select("object_key", F.col("content").alias("body"), "content_type", "raw_sha256", "source").write.mode("append").parquet(zones.landing_objects)
-    labelled = _held(landing.outcomes(done.drop("outcome"), store, list(landing.CONTENT_KEY), order).drop("content"), f"{zones.work}/outcomes")
+    labelled = _held(landing.outcomes(done.drop("outcome", "content"), store, list(landing.CONTENT_KEY), order), f"{zones.work}/outcomes")
     landing.append(records.persisted(labelled.filter("outcome = 'stored'")), zones.landing)
 
     key = ["facet_id", "partition_key"]

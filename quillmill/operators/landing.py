@@ -2,19 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Content identity: the same content of an identifier is stored once, whatever its URL.
 CONTENT_KEY = ("source", "identifier", "file_hash")
 
 
-def first_of(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key."""
+#: Parts in which the rows of one key are looked at before they meet.
+SALTS = 32
+
+
+def first_of(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key; Spark keeps one candidate a task before it shuffles."""
     place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     return rows.withColumn("__place", place).filter("__place = 1").drop("__place")
 
 
+def with_first(rows: DataFrame, key: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with a flag: whether it is the first of its key. All rows stay, so a key with very many is dealt by salt.
+
+    The first of each salt are told first; only these meet in one group, the others stay in those of their salts.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    local = F.row_number().over(Window.partitionBy(*key, "__salt").orderBy(*order)) == 1
+    group = F.when(F.col("__local"), -1).otherwise(F.col("__salt"))
+    told = salted.withColumn("__local", local).withColumn("__group", group)
+    first = F.col("__local") & (F.row_number().over(Window.partitionBy(*key, "__group").orderBy(*order)) == 1)
+    return told.withColumn(name, first).drop("__salt", "__local", "__group")
+
+
 def unseen(rows: DataFrame, store: DataFrame, key: list[str]) -> DataFrame:
     """Rows whose key the store does not have."""
     return rows.join(store.select(*key).distinct(), key, "left_anti")
@@ -24,15 +41,14 @@ def seen(rows: DataFrame, store: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(store.select(*key).distinct(), key, "left_semi")
 
 
-def outcomes(rows: DataFrame, store: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
+def outcomes(rows: DataFrame, store: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """rows with outcome: stored if it is the first of its key and the store has none, else unchanged."""
-    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     known = store.select(*key, F.lit(True).alias("__known")).distinct()
-    new = F.col("__known").isNull() & (F.col("__place") == 1)
-    return rows.withColumn("__place", place).join(known, key, "left").withColumn("outcome", F.when(new, "stored").otherwise("unchanged")).drop("__place", "__known")
+    new = F.col("__known").isNull() & F.col("__first")
+    return with_first(rows, key, order, "__first").join(known, key, "left").withColumn("outcome", F.when(new, "stored").otherwise("unchanged")).drop("__first", "__known")
 
 
-def objects(rows: DataFrame, store: DataFrame, order: list[Column]) -> DataFrame:
+def objects(rows: DataFrame, store: DataFrame, order: list[str]) -> DataFrame:
     """Objects to put: the first row of each object key with content; written tells those the store lacks."""
     usable = rows.filter(F.col("object_key").isNotNull() & F.col("content").isNotNull())
     return outcomes(usable, store, ["object_key"], order).withColumn("written", F.col("outcome") == "stored").drop("outcome")
@@ -40,15 +56,14 @@ def objects(rows: DataFrame, store: DataFrame, order: list[Column]) -> DataFrame
 
 def first_sightings(rows: DataFrame) -> DataFrame:
     """Rows (facet_id, partition_key, page, row_pos, doc_url, …) with first: whether the URL is met for the first time in its partition."""
-    at = Window.partitionBy("facet_id", "partition_key", "doc_url").orderBy("page", "row_pos")
-    return rows.withColumn("first", F.row_number().over(at) == 1)
+    return with_first(rows, ["facet_id", "partition_key", "doc_url"], ["page", "row_pos"], "first")
 
 
 def reuse_flags(rows: DataFrame) -> DataFrame:
     """First sightings with reused: whether an earlier row of the partition has the identifier with another URL."""
-    first = first_sightings(rows).filter("first").drop("first")
-    at = Window.partitionBy("facet_id", "partition_key", "identifier").orderBy("page", "row_pos")
-    return first.withColumn("reused", F.row_number().over(at) > 1)
+    first = first_of(rows, ["facet_id", "partition_key", "doc_url"], ["page", "row_pos"])
+    told = with_first(first, ["facet_id", "partition_key", "identifier"], ["page", "row_pos"], "__first")
+    return told.withColumn("reused", ~F.col("__first")).drop("__first")
 
 
 def append(rows: DataFrame, path: str) -> None:

@@ -110,8 +110,7 @@ SELECT page_id, url, CASE WHEN t <> '' THEN sha256(CASE WHEN coalesce(h, '') <>
 def fingerprint_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: each page's content fingerprint, and which page is the first with it."""
     made = table(spark, sf_dir, "pages").select("page_id", "url", H.fingerprint(F.col("html"), F.lit("html"), CONTENT, TITLE).alias("f")).select("page_id", "url", "f.file_hash", "f.basis")
-    first = F.row_number().over(Window.partitionBy("file_hash").orderBy("page_id")) == 1
-    return made.withColumn("first_of_content", first)
+    return landing.with_first(made, ["file_hash"], ["page_id"], "first_of_content")
 
 
 @query(f"""WITH b AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'pdf' ELSE 'html' END AS ext, CASE WHEN page_id % 7 = 0 THEN regexp_replace(html, '(?i)<(/?)article', '<\\1section', 'g') ELSE html END AS html FROM pages),
@@ -227,14 +226,14 @@ SELECT doc_id, object_key, k = 1 AND object_key NOT IN (SELECT source || '/' ||
 def landing_put_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat("source", F.lit("/"), "file_hash", F.lit(".txt"))
     old, new = (b.select("doc_id", key.alias("object_key"), F.lit("").alias("content")) for b in _batches(spark, sf_dir))
-    return landing.objects(new, old, [F.asc("doc_id")]).select("doc_id", "object_key", "written")
+    return landing.objects(new, old, ["doc_id"]).select("doc_id", "object_key", "written")
 
 
 @query(f"""{_BATCHES}, k AS (SELECT *, row_number() OVER (PARTITION BY source, identifier, file_hash ORDER BY doc_id) AS k FROM new)
 SELECT doc_id, CASE WHEN k = 1 AND NOT EXISTS (SELECT 1 FROM old WHERE old.source = k.source AND old.identifier = k.identifier AND old.file_hash = k.file_hash) THEN 'stored' ELSE 'unchanged' END AS outcome FROM k""")
 def landing_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _batches(spark, sf_dir)
-    return landing.outcomes(new, old, list(landing.CONTENT_KEY), [F.asc("doc_id")]).select("doc_id", "outcome")
+    return landing.outcomes(new, old, list(landing.CONTENT_KEY), ["doc_id"]).select("doc_id", "outcome")
 
 
 @query(f"{_BATCHES} SELECT doc_id, file_hash FROM new WHERE file_hash NOT IN (SELECT file_hash FROM old)")

@@ -22,7 +22,7 @@ def land(rows: DataFrame, table: str, checkpoint: str, key: list[str], order: li
     """
 
     def append(batch: DataFrame, _: int) -> None:
-        new = first_of(batch, key, [F.asc(c) for c in order])
+        new = first_of(batch, key, order)
         try:
             new = unseen(new, batch.sparkSession.read.schema(new.schema).parquet(table), key)
         except Exception as e:

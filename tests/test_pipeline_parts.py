@@ -119,7 +119,7 @@ def test_documents_join_keeps_failures(spark):
 
 def test_landing_twice_stores_nothing_new(spark):
     rows = spark.createDataFrame([(1, "s", "a", "h1"), (2, "s", "a", "h1"), (3, "s", "a", "h2"), (4, "t", "a", "h1")], "n int, source string, identifier string, file_hash string")
-    key, order = list(landing.CONTENT_KEY), [F.asc("n")]
+    key, order = list(landing.CONTENT_KEY), ["n"]
     first = landing.outcomes(rows, rows.limit(0), key, order)
     assert {r.n: r.outcome for r in first.collect()} == {1: "stored", 2: "unchanged", 3: "stored", 4: "stored"}
     again = landing.outcomes(rows, first.filter("outcome = 'stored'"), key, order)
@@ -127,6 +127,13 @@ def test_landing_twice_stores_nothing_new(spark):
     assert landing.unseen(rows, rows.filter("n = 1"), key).count() == 2 and landing.seen(rows, rows.filter("n = 1"), key).count() == 2
 
 
+def test_first_of_a_key_with_many_rows(spark):
+    rows = spark.range(2000).select((F.col("id") % 7 * F.col("id") % 2).alias("k"), ((F.col("id") * 7919) % 2003).alias("n"))
+    flagged = landing.with_first(rows, ["k"], ["n"], "first")
+    assert flagged.count() == 2000 and flagged.filter("first").exceptAll(rows.groupBy("k").agg(F.min("n").alias("n")).withColumn("first", F.lit(True))).count() == 0
+    assert sorted(map(tuple, landing.first_of(rows, ["k"], ["n"]).collect())) == sorted((r.k, r.n) for r in flagged.filter("first").collect())
+
+
 def test_landing_append_and_layout(spark, tmp_path):
     rows = spark.createDataFrame([("web", "2024-01", 1), ("web", "2024-02", 2)], "source string, partition_key string, n int")
     landing.append(rows, str(tmp_path / "t"))
