@@ -3,7 +3,6 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from quillmill import schemas
 from quillmill.operators import jobs, reconcile, records
@@ -112,4 +111,3 @@ def test_a_lost_object_is_a_failure_of_its_row(spark, loaded, zones):  # noqa: F
 def test_widened_dates(spark):
     row = records.widened(spark.createDataFrame([(date(2024, 1, 2), 1)], "d date, n int")).first()
     assert (row.d.year, row.d.hour) == (2024, 0) and records.widened(spark.range(1)).dtypes == [("id", "bigint")]
-    assert F is not None
