@@ -61,14 +61,24 @@ def fingerprint_array(texts: list[bytes], size: int = SHINGLE, seed: int = SEED)
         counts.append(len(words) - size + 1)
     out, n = np.zeros(len(texts), dtype=np.uint64), np.array(counts, dtype=np.int64)
     full = np.flatnonzero(n)
-    if len(full):
-        bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        at = np.concatenate(([0], np.cumsum(n[full])[:-1]))
-        sums = np.add.reduceat(bits, at, axis=0, dtype=np.int64)
-        out[full] = np.packbits(2 * sums > n[full, None], axis=1, bitorder="little").view("<u8").ravel()
+    out[full] = _majority(np.array(hashes, dtype=np.uint64), n[full])
     return out
 
 
+#: The eight bits of each byte, lowest first.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+
+
+def _majority(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For consecutive runs of n > 0 hashes each: the bits that over half of a run's have. Bytes are counted, not bits."""
+    if not len(n):
+        return np.zeros(0, dtype=np.uint64)
+    base = np.repeat(np.arange(len(n)) * 256, n)
+    octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)
+    sums = np.concatenate([np.bincount(base + octets[:, k], minlength=256 * len(n)).reshape(-1, 256) @ _BITS for k in range(8)], axis=1)
+    return np.packbits(2 * sums > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int | None = None) -> DataFrame:
     """doc_id and fingerprint (bigint, the 64 bits) of each row; null and wordless texts have fingerprint zero.
 
@@ -97,14 +107,9 @@ SURE, MAYBE = -2.5, 3.0
 _WIDE = [f"{kind}{k}" for kind in ("u", "s") for k in range(PARTS)]
 
 
-def _majority(hashes: np.ndarray, at: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
-    """PARTS SimHashes of runs of hashes that begin at `at` and have n members each, n > 0."""
-    out = []
-    for k in range(PARTS):
-        bits = np.unpackbits(mix(hashes + U64(0x632BE59BD9B4E019 * (k + 1) & (1 << 64) - 1)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.add.reduceat(bits, at, axis=0, dtype=np.int64)
-        out.append(np.packbits(2 * sums > n[:, None], axis=1, bitorder="little").view("<u8").ravel())
-    return out
+def _parts(hashes: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """PARTS SimHashes of consecutive runs of n > 0 hashes each."""
+    return [_majority(mix(hashes + U64(0x632BE59BD9B4E019 * (k + 1) & (1 << 64) - 1)), n) for k in range(PARTS)]
 
 
 def wide_fingerprints(column: pa.Array, words: int = WORDS) -> np.ndarray:
@@ -119,12 +124,12 @@ def wide_fingerprints(column: pa.Array, words: int = WORDS) -> np.ndarray:
     first = np.searchsorted(rows, np.arange(len(at)))
     n = np.diff(first)
     full = np.flatnonzero(n)
-    out[:PARTS, full] = _majority(hashes, first[full], n[full])
+    out[:PARTS, full] = _parts(hashes, n[full])
     size = np.minimum(n[full], words)
     count = n[full] - size + 1
     begin = np.repeat(first[full] - (np.cumsum(count) - count), count) + np.arange(count.sum())
     shingles = span_hashes(hashes, begin, begin + np.repeat(size, count), WORD_BASE)
-    out[PARTS:, full] = _majority(shingles, np.cumsum(count) - count, count)
+    out[PARTS:, full] = _parts(shingles, count)
     return out
 
 
@@ -287,7 +292,7 @@ def _in_runs(compare):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
-        rows = 0
+        rows, most = 0, RUN_ROWS
 
         def emit(columns: list[np.ndarray]) -> pa.RecordBatch:
             a, b = compare(*columns)
@@ -296,11 +301,12 @@ def _in_runs(compare):
         for batch in batches:
             held.append(tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns))
             rows += batch.num_rows
-            if rows >= RUN_ROWS and batch.num_rows:
+            if rows >= most and batch.num_rows:
                 whole = [np.concatenate(x) for x in zip(*held, strict=True)]
                 cut = int(np.searchsorted(whole[0], whole[0][-1]))  # the last group may go on
                 if cut:
                     yield emit([x[:cut] for x in whole])
+                most = RUN_ROWS if cut else 2 * rows
                 held, rows = [tuple(x[cut:] for x in whole)], len(whole[0]) - cut
         if rows:
             yield emit([np.concatenate(x) for x in zip(*held, strict=True)])
