@@ -9,6 +9,9 @@ anchor. So every fingerprint is copied to each anchor whose distances exceed the
 Equal fingerprints are one node from the start, so copies never meet in an anchor. What an anchor finds leaves
 it as a spanning forest, not as pairs. Anchors are met in sorted runs; one with very many fingerprints is
 searched by thirds of the bits, of which one must be equal in any linked pair.
+
+Texts that are similar but further apart than 2 bits are found on request by the same code: wide fingerprints of
+their words are cut into Golay blocks, and texts meet where two of their blocks decode alike.
 """
 
 from __future__ import annotations
@@ -322,7 +325,7 @@ NEAR = 16
 
 def _neighbours(anchor: np.ndarray, fps: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Candidates of each anchor: its fingerprints in order of their words' bits, each with the one before and with the first; at most two a row."""
-    order = np.lexsort((first, anchor))
+    order = np.lexsort((fps, first, anchor))  # whatever the order in which the rows came
     anchor, fps, first = anchor[order], fps[order], first[order].view(np.uint64)
     start = np.concatenate(([True], anchor[1:] != anchor[:-1]))
     head = np.flatnonzero(start)[np.cumsum(start) - 1]
