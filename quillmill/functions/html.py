@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmill.functions.text import escape, normalise, raw_hash, strip_comments
+from quillmill.functions.text import escape, let, normalise, raw_hash, strip_comments
 
 # What a fingerprint leaves out, what an extraction leaves out.
 HIDDEN, DISCARDED = ("script", "style"), ("script", "style", "noscript", "iframe")
@@ -47,38 +47,55 @@ def decoded(text: Column) -> Column:
     return text
 
 
+def _text(markup: Column) -> Column:
+    """Visible text of markup, its text nodes joined by spaces."""
+    return normalise(decoded(F.regexp_replace(markup, "(?s)<[^>]*>", " ")))
+
+
+def _region(bare: Column, tag: str) -> Column:
+    """Text of the first element of the tag, of html that is rid of all that is hidden; null without one."""
+    return let(F.regexp_extract(bare, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", 0), lambda own: F.when(own != "", _text(own)))
+
+
 def region_text(html: Column, tag: str, tags: tuple[str, ...] = HIDDEN) -> Column:
     """Visible text of the first element of the tag, its text nodes joined by spaces; null without one."""
-    own = inner(without(html, tags), tag)
-    return F.when(own.isNotNull(), normalise(decoded(F.regexp_replace(own, "(?s)<[^>]*>", " "))))
+    return _region(without(html, tags), tag)
 
 
 def fingerprint(html: Column, ext: Column, content: str, title: str | None = None) -> Column:
     """struct(file_hash, basis): of the title's and content's text; of the document without comments if the content has none; of the bytes if it is no HTML."""
-    text = F.nullif(region_text(html, content), F.lit(""))
-    head = F.nullif(region_text(html, title), F.lit("")) if title else F.lit(None).cast("string")
-    joined = F.when(head.isNotNull(), F.concat(head, F.lit("\n"), text)).otherwise(text)
-    body = F.encode(html, "UTF-8")
-    basis = F.when(ext != "html", "raw_bytes").when(text.isNotNull(), "content_text").otherwise("document_minus_comments")
-    file_hash = F.when(ext != "html", raw_hash(body)).when(text.isNotNull(), F.sha2(joined, 256)).otherwise(raw_hash(strip_comments(body)))
-    return F.struct(file_hash.alias("file_hash"), basis.alias("basis"))
+    none = F.lit(None).cast("string")
+    bare = F.when(ext == "html", without(html))
+    texts = let(bare, lambda b: F.struct(F.nullif(_region(b, content), F.lit("")).alias("text"), (F.nullif(_region(b, title), F.lit("")) if title else none).alias("head")))
+
+    def hashed(t: Column) -> Column:
+        body = F.encode(html, "UTF-8")
+        whole = F.when(t["head"].isNotNull(), F.concat(t["head"], F.lit("\n"), t["text"])).otherwise(t["text"])
+        basis = F.when(ext != "html", "raw_bytes").when(t["text"].isNotNull(), "content_text").otherwise("document_minus_comments")
+        file_hash = F.when(ext != "html", raw_hash(body)).when(t["text"].isNotNull(), F.sha2(whole, 256)).otherwise(raw_hash(strip_comments(body)))
+        return F.struct(file_hash.alias("file_hash"), basis.alias("basis"))
+
+    return let(texts, hashed)
 
 
 def extraction(html: Column, content: str, title: str, language: Column) -> Column:
     """struct(html, title, text_chars, extracted_with, quality_flags): the title and content regions as a document of their own."""
-    kept = without(html, DISCARDED)
-    head, own = region_text(html, title, DISCARDED), inner(kept, content)
-    fallback = F.coalesce(inner(kept, "body"), kept)
-    inside = F.coalesce(own, fallback)
-    text = normalise(decoded(F.regexp_replace(inside, "(?s)<[^>]*>", " ")))
-    named = F.coalesce(head, F.lit(""))
-    heading = F.when(named != "", F.format_string(HEADING, escape(named))).otherwise("")
-    document = F.format_string(DOCUMENT, escape(language), escape(named), heading, F.regexp_replace(inside, r"^\s+|\s+$", ""))
-    flagged = F.array_compact(F.array(F.when(own.isNull(), F.lit("extraction_fallback")), F.when(text == "", F.lit("extraction_failed"))))
-    return F.struct(
-        F.encode(document, "UTF-8").alias("html"), head.alias("title"), F.length(text).cast("bigint").alias("text_chars"),
-        F.when(own.isNull(), "body").otherwise("content").alias("extracted_with"), flagged.alias("quality_flags"),
-    )
+
+    def parts(kept: Column) -> Column:
+        own = inner(kept, content)
+        return F.struct(_region(kept, title).alias("head"), own.alias("own"), F.when(own.isNull(), F.coalesce(inner(kept, "body"), kept)).alias("fallback"))
+
+    def made(p: Column) -> Column:
+        inside, named = F.coalesce(p["own"], p["fallback"]), F.coalesce(p["head"], F.lit(""))
+        heading = F.when(named != "", F.format_string(HEADING, escape(named))).otherwise("")
+        document = F.format_string(DOCUMENT, escape(language), escape(named), heading, F.regexp_replace(inside, r"^\s+|\s+$", ""))
+        flagged = lambda n: F.array_compact(F.array(F.when(p["own"].isNull(), F.lit("extraction_fallback")), F.when(n == 0, F.lit("extraction_failed"))))
+        return let(F.length(_text(inside)).cast("bigint"), lambda n: F.struct(
+            F.encode(document, "UTF-8").alias("html"), p["head"].alias("title"), n.alias("text_chars"),
+            F.when(p["own"].isNull(), "body").otherwise("content").alias("extracted_with"), flagged(n).alias("quality_flags"),
+        ))
+
+    return let(let(without(html, DISCARDED), parts), made)
 
 
 # --- DOM
