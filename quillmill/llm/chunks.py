@@ -83,6 +83,8 @@ def chunks(docs: DataFrame) -> DataFrame:
             rows = np.searchsorted(at, starts, side="right") - 1
             first = ~_SPACE[data]
             first[1:] &= _SPACE[data[:-1]]
+            begin = at[:-1][at[:-1] < len(data)]
+            first[begin] = ~_SPACE[data[begin]]  # whatever the row before ends with
             words, points = (np.concatenate(([0], np.cumsum(x))) for x in (first, data & 0xC0 != 0x80))
             raw, digest = data.tobytes(), xxhash.xxh3_64_intdigest
             digests = np.fromiter((digest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), dtype=np.uint64, count=len(starts))

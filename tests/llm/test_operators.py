@@ -344,9 +344,9 @@ def test_repeated_passages(spark, odd, none):
 
 
 def test_chunks_cover_texts(documents):
-    sums = chunks.chunks(documents).groupBy("doc_id").agg(F.sum("size").alias("n"), F.max("place").alias("last"), F.count("*").alias("k"))
+    sums = chunks.chunks(documents).groupBy("doc_id").agg(F.sum("size").alias("n"), F.sum("words").alias("w"), F.max("place").alias("last"), F.count("*").alias("k"))
     joined = documents.join(sums, "doc_id").collect()
-    assert len(joined) == documents.filter("text <> ''").count() and all(r.n == len(r.text) and r.last == r.k - 1 for r in joined)
+    assert len(joined) == documents.filter("text <> ''").count() and all(r.n == len(r.text) and r.w == len(r.text.encode().split()) and r.last == r.k - 1 for r in joined)
 
 
 # --- 8
