@@ -465,6 +465,36 @@ def test_candidates_are_two_a_row_at_most():
     assert len(a) <= 2 * len(fps) and (a < b).all() and set(a) | set(b) == set(fps)
 
 
+def test_similar_pairs_in_crowded_bands():
+    # 300 texts that share every band, and pairs of which none stand side by side.
+    fps = np.random.default_rng(6).permutation(300).astype(np.int64)
+    band, n, root = np.zeros(300, dtype=np.int64), np.full(300, 100), np.where(fps < 2, 0, fps)
+    met = {(x, y) for a, b in simhash._all_pairs(band, fps, n, root, 0.8) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+    assert met == {(x, y) for y in range(300) for x in range(y)} - {(0, 1)}
+    n[:] = np.arange(300) + 1
+    met = {(x, y) for a, b in simhash._all_pairs(band, fps, n, fps, 0.8) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+    size = dict(zip(fps.tolist(), n.tolist(), strict=True))
+    assert met == {(x, y) for y in range(300) for x in range(y) if min(size[x], size[y]) >= 0.8 * max(size[x], size[y])}
+
+
+@pytest.mark.parametrize("others", [0, 1500])
+def test_recall_of_similar_texts_does_not_fall_with_the_corpus(spark, others):
+    # Long texts of one small vocabulary: their word counts are alike, their shingles are not.
+    rng = random.Random(11)
+    known = [words(rng, 1) for _ in range(300)]
+    draw = lambda: rng.choices(known, [1 / (k + 1) for k in range(300)], k=400)
+    rows = []
+    for k in range(60):
+        base = draw()
+        other = list(base)
+        for i in rng.sample(range(400), 6):
+            other[i] = f"changed{k}x{i}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    rows += [(1000 + k, " ".join(draw())) for k in range(others)]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), similarity=0.8).collect()}
+    assert all(found[2 * k] == found[2 * k + 1] == 2 * k for k in range(60))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (100, 100), (200, 205), (205, 203), (203, 200), (7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
