@@ -495,6 +495,16 @@ def test_recall_of_similar_texts_does_not_fall_with_the_corpus(spark, others):
     assert all(found[2 * k] == found[2 * k + 1] == 2 * k for k in range(60))
 
 
+def test_similarity_is_of_distinct_shingles(spark):
+    # Much repeated lines: two texts that share little else, and two that share all else.
+    rng, rows = random.Random(12), []
+    line, body = words(rng, 20), words(rng, 300)
+    rows += [(k, " ".join([words(rng, 300)] + [line] * 30)) for k in (1, 2)]
+    rows += [(k, " ".join([body] + [words(rng, 20)] * 30)) for k in (3, 4)]
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), similarity=0.8).collect()}
+    assert found == {1: 1, 2: 2, 3: 3, 4: 3}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (100, 100), (200, 205), (205, 203), (203, 200), (7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
