@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -152,20 +153,41 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
     """docs without contaminated documents, and without the hit passages of the others; columns stay as they are.
 
     A passage goes from the first byte of its first hit word to the last byte of its last; n_chars, if there, is
-    counted anew for texts that changed. Texts without hits, null texts among them, stay byte for byte. A benchmark
-    of several blocks is cut block by block, and a document goes if one block alone or what is left of it says so.
+    counted anew for texts that changed. Texts without hits, null texts among them, stay byte for byte. The hits of
+    a benchmark of several blocks are gathered from the original texts first, so its size changes nothing.
     """
-    out = in_batches(docs)
-    for index in _shared(docs.sparkSession, benchmark, window, block_bytes):
-        out = out.mapInArrow(_cutter(index, share, docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None), docs.schema)
-    return out
-
-
-def _cutter(index, share: int, text_at: int, n_chars_at: int | None):
+    columns = docs.columns
+    text_at, n_chars_at, hits_at = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None, len(columns)
+    blocks = list(_shared(docs.sparkSession, benchmark, window, block_bytes))
+    if len(blocks) == 1:
+        index = blocks[0]
+        return in_batches(docs).mapInArrow(_cutter(lambda part: index.value.scan(part.column(text_at)), share, text_at, n_chars_at, columns), docs.schema)
+    # What is hit depends on the text alone, so its digest joins the hits to the rows.
+    key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    keyed = in_batches(docs).select(F.lit(None).cast("bigint").alias("doc_id"), "text", key.alias("row_key"))
+    parts = reduce(DataFrame.unionByName, (keyed.mapInArrow(_partial(block, False), _PART) for block in blocks))
+    hits = parts.groupBy(F.col("row_key").alias("__key")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits")))).alias("__hits"))
+    joined = docs.withColumn("__row_key", key).join(hits, F.col("__row_key") == F.col("__key"), "left").select(*columns, "__hits")
+    return joined.mapInArrow(_cutter(lambda part: _gathered(part.column(text_at), part.column(hits_at)), share, text_at, n_chars_at, columns), docs.schema)
+
+
+def _gathered(column: pa.Array, hits: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, set[str]]]:
+    """What Index.scan gives, without items, from the numbers of the words that are hit."""
+    raw, at = text_buffers(column)
+    starts, ends, rows = word_spans(LOWER[raw], at)
+    first = np.searchsorted(rows, np.arange(len(at)))
+    for k in range(len(at) - 1):
+        a, b = first[k], first[k + 1]
+        hit = np.zeros(b - a, dtype=bool)
+        hit[np.array(hits[k].as_py() or [], dtype=np.int64)] = True
+        yield b - a, starts[a:b] - at[k], ends[a:b] - at[k], hit, set()
+
+
+def _cutter(scan, share: int, text_at: int, n_chars_at: int | None, columns: list[str]):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             keep, texts, changed = [], {}, False
-            for k, (n, starts, ends, hit, _) in enumerate(index.value.scan(part.column(text_at))):
+            for k, (n, starts, ends, hit, _) in enumerate(scan(part)):
                 hits = int(hit.sum())
                 if hits and share * hits >= n:
                     continue
@@ -185,6 +207,6 @@ def _cutter(index, share: int, text_at: int, n_chars_at: int | None):
                 if n_chars_at is not None:
                     counts = part.column(n_chars_at)
                     part = part.set_column(n_chars_at, part.schema.field(n_chars_at), pa.array([len(texts[k]) if k in texts else counts[k].as_py() for k in range(part.num_rows)], counts.type))
-            yield part.take(pa.array(keep, pa.int64()))
+            yield part.select(columns).take(pa.array(keep, pa.int64()))
 
     return cut

@@ -89,6 +89,22 @@ def test_cleaning_cuts_passages_and_keeps_the_rest(spark, odd):
     assert decontaminate.clean(odd, table).exceptAll(odd).count() == 0 == odd.exceptAll(decontaminate.clean(odd, table)).count()
 
 
+def test_cleaning_does_not_depend_on_the_blocks(spark, documents, benchmark, odd):
+    filler = " ".join(f"w{k}" for k in range(970))
+    one, two = ([f"{x}{k}" for k in range(30)] for x in ("a", "b"))
+    long = [f"c{k}" for k in range(20)]
+    items = [(k, " ".join(x)) for k, x in enumerate([one, two, long[:15], long[5:]])]
+    rows = [(1, f"{filler} {' '.join(one)} and {' '.join(two)}", 0), (2, f"{filler} {' '.join(long)}, end", 0), (3, f"{filler} {' '.join(one)}", 0), (4, None, 0), (4, f"{filler} {' '.join(long)}, end", 1)]
+    docs, table = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint"), spark.createDataFrame(items, "item_id bigint, text string")
+    plain = decontaminate.clean(docs, table)
+    assert Counter(map(tuple, plain.collect())) == Counter([(2, f"{filler} , end", len(filler) + 6), (3, f"{filler} ", len(filler) + 1), (4, None, 0), (4, f"{filler} , end", len(filler) + 6)])
+    for block_bytes in (300, 150, 40):
+        blocks = decontaminate.clean(docs, table, block_bytes=block_bytes)
+        assert blocks.schema == plain.schema and Counter(map(tuple, blocks.collect())) == Counter(map(tuple, plain.collect()))
+    for frame in (documents, odd):
+        assert Counter(map(tuple, decontaminate.clean(frame, benchmark, block_bytes=2000).collect())) == Counter(map(tuple, decontaminate.clean(frame, benchmark).collect()))
+
+
 # --- 2 and 3
 
 
