@@ -79,7 +79,7 @@ FORMS = (
     ("tag", 5, "spdx", "spdx license identifier {s}"),
     ("address", 4, "", "{u}"),
     ("grant", 3, "licen", "licen[cs]ed( to you)? under( the)?( terms( and conditions)? of( the)?| conditions of( the)?)? {n}( licen[cs]e)?"),
-    ("release", 3, "under", "(released|distributed|available|published|shared|covered|governed|provided)( freely)? (under|by)( the)?( terms of( the)?)? {n}( licen[cs]e)?"),
+    ("release", 3, " under | by ", "(released|distributed|available|published|shared|covered|governed|provided)( freely)? (under|by)( the)?( terms of( the)?)? {n}( licen[cs]e)?"),
     ("field", 3, "licen", "licen[cs]es? {n}( licen[cs]e)?"),
     ("title", 2, "licen", "(the )?{n} licen[cs]e"),
     ("name", 1, "", "{n}"),
@@ -89,8 +89,6 @@ COMMON = ("mit", "mit-0", "isc", "zlib", "openssl", "postgresql", "public-domain
 #: What a place of each priority says for the score.
 CONFIDENCE = {1: 0.6, 2: 0.8, 3: 0.9, 4: 0.95, 5: 1.0}
 BASE_CONFIDENCE = 0.8
-#: A text without any of these is not searched.
-GATE = ("licens", "licenc", "spdx", "apache", "gnu ", "gpl", "bsd", "mozilla", "eclipse", "creative commons", "creativecommons", "cc by", "cc0", "public domain", "rights reserved", "cddl", "wtfpl")
 
 
 class Rule(NamedTuple):
@@ -112,6 +110,10 @@ def rules() -> list[Rule]:
     return found
 
 
+#: A text without any of these is not searched: for each rule the keywords of its name, or of its form if it names none.
+GATE = tuple(sorted({key for rule in rules() for key in (rule.keywords[1] or rule.keywords[0]).split("|")}))
+
+
 def normalised(text: Column) -> Column:
     """The words of a text, A-Z lower-cased, separated by single spaces."""
     return F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), NOT_WORD, " "))
@@ -177,7 +179,7 @@ def detections(words: Column, all_rules: list[Rule] | None = None) -> Column:
         return F.struct(F.when(hidden, acc["ends"]).otherwise(ends).alias("ends"), F.when(hidden, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"))
 
     start = F.struct(F.array(*[F.lit(-1)] * 5).alias("ends"), none.alias("kept"))
-    gate = reduce(Column.__or__, (F.contains(words, F.lit(key)) for key in GATE))
+    gate = reduce(Column.__or__, (F.contains(padded, F.lit(key)) for key in GATE))
     return F.when(gate, let(padded, lambda t: F.aggregate(search(t), start, sweep)["kept"])).otherwise(none)
 
 

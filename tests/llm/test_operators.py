@@ -200,6 +200,55 @@ def test_licenses(spark, documents, odd, none):
     assert len(licenses.rules()) > 200 and licenses.scan(none).count() == 0 and licenses.scan(odd).count() == len(ODD)
 
 
+UNGATED = {
+    "Released under MPL 2.0": "mpl-2", "EPL-2.0": "epl-2", "EUPL-1.2": "eupl-1.2", "CPL 1.0": "cpl-1", "OFL 1.1": "ofl-1.1", "ODbL 1.0": "odbl-1", "Ms-PL": "ms-pl", "available under ISC": "isc", "released under the MIT": "mit", "shared under zlib": "zlib",
+    "distributed under OpenSSL": "openssl", "published under PostgreSQL": "postgresql", "https://scripts.sil.org/OFL": "ofl-1.1", "https://joinup.ec.europa.eu/collection/eupl": "eupl-1.2",
+}
+
+
+def test_licenses_without_words_of_licenses(spark):
+    docs = spark.createDataFrame(list(enumerate(UNGATED)), "doc_id bigint, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert [found[k].labels for k in range(len(UNGATED))] == list(UNGATED.values()) and all(r.score > 0 for r in found.values())
+
+
+def forms_of(pattern):
+    """Texts that a rule's pattern matches: its alternatives and optional parts, each taken and left in turn."""
+    from re._parser import parse
+
+    def grow(items):
+        out = [""]
+        for op, value in items:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(value)]
+            elif name == "IN":
+                more = [chr(v if str(o) == "LITERAL" else v[0]) for o, v in value][:2]
+            elif name == "SUBPATTERN":
+                more = grow(value[3])
+            elif name == "BRANCH":
+                more = [x for branch in value[1] for x in grow(branch)]
+            elif name == "MAX_REPEAT":
+                more = ["", *grow(value[2])]
+            else:
+                assert name == "ASSERT_NOT"
+                more = [""]
+            own = [a + b for a in out for b in more]
+            out = own if len(own) <= 60 else own[:: len(own) // 60 + 1] + own[-1:]
+        return out
+
+    return grow(parse(pattern))
+
+
+def test_gate_and_keywords_cover_every_rule():
+    for rule in licenses.rules():
+        own = [f" {x} " for x in forms_of(rule.pattern) if re.search(rf"(?<= )(?:{rule.pattern})(?= )", f" {x} ")]
+        assert own
+        for text in own:
+            assert any(key in text for key in licenses.GATE), (rule, text)
+            assert all(any(key in text for key in need.split("|")) for need in rule.keywords), (rule, text)
+
+
 # --- 5
 
 PATTERNS = {
