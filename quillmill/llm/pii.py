@@ -3,8 +3,8 @@
 The field scores segments, not tokens: features of a whole candidate (its shape, its words, the words before and
 after it) are weighed for each type, and a dynamic programme over segments of at most MOST_WORDS words chooses
 boundaries and types together. Weights are trained here, by maximum likelihood on sentences made from templates.
-An entity is looked for within REACH words of a cue (a word such as a title, a given name or "born", or a number's
-shape); overlapping stretches are decoded as one, so a text costs what its cues cost.
+Whole texts are decoded. What the segments from a word on score depends on the shapes and classes of the words around
+it alone, so that the scores of surroundings met before are kept.
 """
 
 from __future__ import annotations
@@ -78,8 +78,8 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 TYPES = ("name", "address", "birth", "iban", "ssn", "passport")
 MOST_WORDS = 7
-#: Words decoded on each side of a cue.
-REACH = 12
+#: Words, and surroundings of words, that a decoder keeps at most.
+KEPT_WORDS, KEPT_PLACES = 1 << 17, 1 << 16
 EPOCHS, STEP, PENALTY, SENTENCES = 8, 0.3, 1e-4, 240
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 
@@ -90,10 +90,6 @@ STREET = "street st avenue ave road rd lane ln drive boulevard blvd court square
 TITLES = "mr mrs ms dr prof herr frau monsieur madame señor señora".split()
 CUES = "name named contact born birth birthday dob address lives residing iban account ssn social security passport signed patient customer regards sincerely geboren anschrift né née nacido".split()
 MONTHS = "january february march april may june july august september october november december".split()
-#: Cues: capitalised names, titles and street words; cue words in either case; account, security and passport numbers by shape.
-_CUE = re.compile(
-    rf"\b(?:{'|'.join(x.title() for x in (*GIVEN, *TITLES, *(s for s in STREET if len(s) > 2)))}|(?i:{'|'.join(CUES)}))\b|\b[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9]{{4}}){{2}}|\b[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}\b|\b[A-Z][0-9]{{8}}\b"
-)
 _OTHER = "the a of and to in is was for with on that this by from at are be it we you they report meeting price order table result city house water light music season paper number page".split()
 
 
@@ -272,40 +268,117 @@ def _decode(words: list[str], weights: Weights) -> list[tuple[int, int, int]]:
     return out[::-1]
 
 
-def field_spans(text: str, weights: Weights) -> list[tuple[int, int, str]]:
-    """Entities of the field: (start, end, type), by start."""
-    cues = [m.span() for m in _CUE.finditer(text)]
-    if not cues:
-        return []
-    out: list[tuple[int, int, str]] = []
-    k = 0
-    while k < len(cues):
-        # A stretch: REACH words before the first cue, up to REACH words after the last that is still within reach.
-        start, end = _before(text, cues[k][0]), _after(text, cues[k][1])
-        k += 1
-        while k < len(cues) and cues[k][0] <= end:
-            end = _after(text, cues[k][1])
-            k += 1
-        tokens = [m.span() for m in _TOKEN.finditer(text, start, end)]
-        for i, j, t in _decode([text[a:b] for a, b in tokens], weights):
-            if not out or tokens[i][0] >= out[-1][1]:
-                out.append((tokens[i][0], tokens[j - 1][1], TYPES[t]))
-    return out
-
-
-#: Characters that REACH words take at most; longer words are met in part.
-_REACH_CHARS = 16 * REACH
+class Decoder:
+    """Chooses the segments of whole texts as _decode does, by scores kept for surroundings met before."""
+
+    def __init__(self, weights: Weights) -> None:
+        self.weights = weights
+        self.vectors: dict[str, list[float]] = {}
+        for (t, feature), w in weights.items():
+            self.vectors.setdefault(feature, [0.0] * len(TYPES))[t] = w
+        self.codes: dict[str, tuple] = {}
+        self.shared: dict[tuple, tuple] = {}
+        self.places: dict[tuple, list[tuple[int, int, float]]] = {}
+
+    def code(self, word: str) -> tuple:
+        """All that features take from a word, after whether an entity can start with it."""
+        code = (word[0].isupper() or word[0].isdigit(), word[0].isalnum(), _shape(word), _class(word.lower()), min(len(word), 24) if word.isdigit() else 0)
+        if len(self.codes) >= KEPT_WORDS:
+            self.codes.clear()
+            self.shared.clear()
+            self.places.clear()
+        code = self.codes[word] = self.shared.setdefault(code, code)
+        return code
+
+    def segments(self, window: tuple) -> list[tuple[int, int, float]]:
+        """(words, type, score) of the segments from the window's third word on that score above 0; None stands for no word."""
+        vectors, first = self.vectors, window[2]
+        base = [0.0] * len(TYPES)
+        for feature in (f"l{window[1][3] if window[1] else '^'}", f"f{first[2]}", *([f"k{window[0][3]}"] if window[0] else [])):
+            if v := vectors.get(feature):
+                base = [x + y for x, y in zip(base, v, strict=True)]
+        out, shapes, classes, digits, met = [], "s", "c", 0, set()
+        for size in range(1, MOST_WORDS + 1):
+            word = window[1 + size]
+            if not word:
+                break
+            shapes, classes = (shapes + word[2], classes + word[3]) if size == 1 else (f"{shapes} {word[2]}", f"{classes} {word[3]}")
+            digits += word[4]
+            if word[3] and word[3] not in met:
+                met.add(word[3])
+                if v := vectors.get(f"h{word[3]}"):
+                    base = [x + y for x, y in zip(base, v, strict=True)]
+            if word[1]:
+                after, own = window[2 + size], base
+                for feature in (f"n{size}", shapes, classes, f"d{min(digits, 24)}", f"r{after[3] if after else '$'}", f"e{word[2]}"):
+                    if v := vectors.get(feature):
+                        own = [x + y for x, y in zip(own, v, strict=True)]
+                best = max(own)
+                if best > 0:
+                    out.append((size, own.index(best), best))
+        if len(self.places) >= KEPT_PLACES:
+            self.places.clear()
+        self.places[window] = out
+        return out
+
+    def decode(self, words: list[str]) -> list[tuple[int, int, int]]:
+        """The best segmentation: entities (first word, end, type), none overlapping."""
+        known, places = self.codes, self.places
+        codes = [None, None, *(known.get(w) or self.code(w) for w in words), *[None] * (MOST_WORDS + 1)]
+        out: list[tuple[int, int, int]] = []
+        held: list[tuple[int, int, int, float]] = []  # segments that overlap, one after another
+        end = 0
+        for i, code in enumerate(codes):
+            if code and code[0]:
+                window = tuple(codes[i - 2 : i + MOST_WORDS + 1])
+                found = places.get(window)
+                if found is None:
+                    found = self.segments(window)
+                for size, t, score in found:
+                    if held and i - 2 >= end:
+                        out += _chosen(held)
+                        held = []
+                    held.append((i - 2, i - 2 + size, t, score))
+                    end = max(end, i - 2 + size)
+        return out + _chosen(held)
+
+
+def _chosen(held: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int]]:
+    """Of segments (first word, end, type, score), in order, those of the best total that do not overlap."""
+    if len(held) < 2:
+        return [x[:3] for x in held]
+    low, ending = held[0][0], defaultdict(list)
+    for i, j, t, score in held:
+        ending[j].append((i, t, score))
+    n = max(ending) - low
+    best, via = [0.0] * (n + 1), [None] * (n + 1)
+    for j in range(1, n + 1):
+        best[j] = best[j - 1]
+        for i, t, score in ending.get(j + low, ()):
+            if best[i - low] + score > best[j]:
+                best[j], via[j] = best[i - low] + score, (i, t)
+    out, j = [], n
+    while j:
+        if via[j]:
+            out.append((via[j][0], j + low, via[j][1]))
+            j = via[j][0] - low
+        else:
+            j -= 1
+    return out[::-1]
 
 
-def _before(text: str, at: int) -> int:
-    near = text[max(0, at - _REACH_CHARS) : at]
-    starts = [m.start() for m in _TOKEN.finditer(near)][-REACH:]
-    return at - len(near) + starts[0] if starts else at
+_DECODER: list[Decoder] = []
 
 
-def _after(text: str, at: int) -> int:
-    ends = [m.end() for _, m in zip(range(REACH), _TOKEN.finditer(text, at, min(len(text), at + _REACH_CHARS)), strict=False)]
-    return ends[-1] if ends else at
+def field_spans(text: str, weights: Weights) -> list[tuple[int, int, str]]:
+    """Entities of the field over the whole text: (start, end, type), by start."""
+    if not _DECODER or _DECODER[0].weights is not weights:
+        _DECODER[:] = [Decoder(weights)]
+    found = _DECODER[0].decode(_TOKEN.findall(text))
+    if not found:
+        return []
+    places = [m.span() for m in _TOKEN.finditer(text)]
+    return [(places[i][0], places[j - 1][1], TYPES[t]) for i, j, t in found]
 
 
 def _listed(spans: list[tuple[str, int, int]]) -> str:
@@ -316,7 +389,9 @@ def find(text: str | None, weights: Weights) -> tuple[dict[str, list[tuple[int,
     """The fixed kinds' places, and the field's entities that overlap none of them."""
     base = base_spans(text or "")
     taken = sorted(x for spans in base.values() for x in spans)
-    field = [(a, b, t) for a, b, t in field_spans(text or "", weights) if not any(a < e and s < b for s, e in taken)]
+    field = field_spans(text or "", weights)
+    if taken:
+        field = [(a, b, t) for a, b, t in field if not any(a < e and s < b for s, e in taken)]
     return base, field
 
 

@@ -315,6 +315,30 @@ def test_pii_decoding_is_optimal():
         assert abs(sum(scores[i, j][t] for i, j, t in pii._decode(words, weights)) - brute_score(words, weights)) < 1e-6
 
 
+def test_pii_field_covers_whole_texts(documents, odd):
+    weights = dict(pii.model())
+    for text in [t for _, t in texts(documents)[::20] + texts(odd) if t and len(t) < 20_000]:
+        tokens = [m.span() for m in pii._TOKEN.finditer(text)]
+        whole = pii._decode([text[a:b] for a, b in tokens], weights)
+        assert pii.field_spans(text, weights) == [(tokens[i][0], tokens[j - 1][1], pii.TYPES[t]) for i, j, t in whole]
+    for text, entity in (("then we went to 12 Miller St with it", "12 Miller St"), ("the report by JOHN SMITH of the city", "JOHN SMITH")):
+        assert entity in [text[a:b] for a, b, _ in pii.find(text, weights)[1]]
+
+
+def test_pii_entities_by_find():
+    weights, right, wrong = dict(pii.model()), 0, 0
+    for words, gold in pii.sentences(150, seed=77):
+        text, starts = " ".join(words), np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
+        base, field = pii.find(text, weights)
+        taken = [x for own in base.values() for x in own]
+        expected = {(starts[i], starts[j] - 1, pii.TYPES[t]) for (i, j), t in gold.items()}
+        expected = {x for x in expected if not any(x[0] < e and s < x[1] for s, e in taken)}
+        right += len(expected & set(field))
+        wrong += len(expected ^ set(field))
+    print(right, wrong)
+    assert right > 20 * wrong
+
+
 def test_pii_redaction(spark, odd):
     docs = spark.createDataFrame([(1, "mail a@b.cd now", 15), (2, None, None), (3, "nothing", 7)], "doc_id bigint, text string, n_chars bigint")
     assert sorted(map(tuple, pii.redact(docs).collect())) == [(1, "mail [EMAIL] now", 16), (2, None, None), (3, "nothing", 7)]
