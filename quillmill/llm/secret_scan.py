@@ -22,12 +22,15 @@ HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "markov")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: What the models judge: a run of these characters with letters and digits in it.
+#: What the models judge: a run of these characters with a letter in it.
 TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 WIDTH = len(ALPHABET) + 1
 #: Log-likelihood ratio per step from which on a token counts as random.
 RATIO = 0.6
+#: Distinct characters of a token without digits, so that a letter or syllable said over and over is none: of 16 random
+#: letters of one case fewer are distinct with a chance of less than 1 in 4 million.
+DISTINCT = 6
 
 _WORDS = (
     "user name file path index count value total order item price date time start end page url link image text title type state status config option default cache buffer "
@@ -99,7 +102,8 @@ def ratio(token: Column, table: list[float]) -> Column:
 def _places(text: Column, table: list[float], least_ratio: float) -> dict[str, Column]:
     long = lambda kind: (lambda m: F.length(m) >= LEAST[kind])
     # A run of 24 signs or of AKIA and 16 is found as by the plain pattern, since either takes all that follows.
-    random_one = lambda m: F.rlike(m, F.lit("[0-9]")) & F.rlike(m, F.lit("[A-Za-z]")) & (ratio(m, table) >= least_ratio)
+    varied = lambda m: F.rlike(m, F.lit("[0-9]")) | (F.size(F.array_distinct(F.split(m, ""))) >= DISTINCT)
+    random_one = lambda m: F.rlike(m, F.lit("[A-Za-z]")) & varied(m) & (ratio(m, table) >= least_ratio)
     return {
         "assign": matches(text, ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= LEAST["assign"]),
         "access": matches(text, rf"{ACCESS[:-1]}{{{LEAST['access'] - 4},}}", long("access")),

@@ -383,6 +383,17 @@ def test_secret_models_on_new_samples(spark):
     assert abs(fresh.filter(F.col("text") == token.text).select(secret_scan.ratio(F.col("text"), table)).first()[0] - by_hand) < 1e-4
 
 
+def test_secrets_of_letters_alone(spark):
+    rng = random.Random(21)
+    upper, lower = secret_scan.ALPHABET[26:52], secret_scan.ALPHABET[:26]
+    keys = ["".join(rng.choices(letters, k=24)) for letters in (upper + lower, upper, lower) for _ in range(50)]
+    plain = ["internationalization", "Bundesverfassungsgericht", "get_user_profile_settings", "XMLHttpRequestFactory", "src/main/resources/templates", "z" * 40, "haha" * 10, "-" * 40]
+    docs = spark.createDataFrame([(k, f"the {x} here") for k, x in enumerate(keys + plain)], "doc_id bigint, text string")
+    found = {r.doc_id: r.spans for r in secret_scan.scan(docs).collect()}
+    assert sum(found[k] == "markov:4:28" for k in range(len(keys))) >= 0.9 * len(keys)
+    assert not any(found[k] for k in range(len(keys), len(keys) + len(plain)))
+
+
 def test_secret_redaction(spark, odd):
     docs = spark.createDataFrame([(1, "é token=abcdefgh, end", 0), (2, None, None), (3, "plain", 5), (4, "token=" + "9" * 30 + "!", 0)], "doc_id bigint, text string, n_chars bigint")
     assert sorted(map(tuple, secret_scan.redact(docs).collect())) == [(1, "é [SECRET], end", 15), (2, None, None), (3, "plain", 5), (4, "[SECRET]!", 9)]
