@@ -11,7 +11,8 @@ it as a spanning forest, not as pairs. Anchors are met in sorted runs; one with
 searched by thirds of the bits, of which one must be equal in any linked pair.
 
 Texts that are similar but further apart than 2 bits are found on request: texts meet where the smallest hashes of
-their distinct shingles agree throughout a band, all that meet are compared, and the shingle sets decide.
+their distinct shingles agree throughout a band, and their shingle sets decide. Those that are connected already, and
+those whose bitmaps prove that they are not similar, need no such comparison; all others that meet are compared.
 """
 
 from __future__ import annotations
@@ -84,9 +85,10 @@ def _majority(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words: int | None = None) -> DataFrame:
     """doc_id and fingerprint (bigint, the 64 bits) of each row; null and wordless texts have fingerprint zero.
 
-    With words, the bands of the distinct shingles of so many words follow, and the number of these shingles.
+    With words, three columns more: digest of the text, node, a hash of the set of its shingles of so many words, and the
+    set's bands.
     """
-    more = ", bands array<bigint>, n int" if words else ""
+    more = ", digest bigint, node bigint, bands array<bigint>" if words else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -96,10 +98,11 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, words:
             columns = [part.column(0), pa.array(found.view(np.int64))]
             if words:
                 sets = shingle_sets(column, words)
-                columns += [pa.array(band_rows(sets), pa.list_(pa.int64())), pa.array([len(x) for x in sets], pa.int32())]
-            yield pa.record_batch(columns, names=["doc_id", "fp", "bands", "n"][: len(columns)])
+                columns += [part.column(2), pa.array(set_hashes(sets)), pa.array(band_rows(sets), pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["doc_id", "fp", "digest", "node", "bands"][: len(columns)])
 
-    return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, f"doc_id bigint, fp bigint{more}")
+    rows = in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *([F.xxhash64("text").alias("digest")] if words else []))
+    return rows.mapInArrow(run, f"doc_id bigint, fp bigint{more}")
 
 
 # --- bands of shingles
@@ -123,6 +126,11 @@ def shingle_sets(column: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     return found
 
 
+def set_hashes(sets: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of each set, whatever the order in which it was gathered."""
+    return mix(np.array([int(mix(x).sum()) + len(x) & ((1 << 64) - 1) for x in sets], dtype=np.uint64)).view(np.int64)
+
+
 def band_rows(sets: list[np.ndarray]) -> list[np.ndarray]:
     """The BANDS hashes of each set, none for an empty one; sets share a band's with a chance of their similarity ** EACH."""
     full = [x for x in sets if len(x)]
@@ -317,91 +325,160 @@ def _in_runs(compare):
     return run
 
 
-def _neighbours(band: np.ndarray, fps: np.ndarray, n: np.ndarray, similarity: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-    """Of each band, its fingerprints in order of their numbers of shingles: each with the one before and with the first; at most two a row."""
-    order = np.lexsort((fps, n, band))  # whatever the order in which the rows came
-    band, fps, n = band[order], fps[order], n[order]
-    start = np.concatenate(([True], band[1:] != band[:-1]))
-    head = np.flatnonzero(start)[np.cumsum(start) - 1]
-    here = np.flatnonzero(~start)
-    left, right = np.concatenate((here - 1, head[here])), np.concatenate((here, here))
-    able = (fps[left] != fps[right]) & (n[left] >= similarity * n[right])
-    pairs = np.stack((np.minimum(fps[left], fps[right])[able], np.maximum(fps[left], fps[right])[able]), axis=1)
-    pairs = np.unique(pairs, axis=0)
-    return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
-
-
-def _all_pairs(band: np.ndarray, fps: np.ndarray, n: np.ndarray, root: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of a band that have different roots, and numbers of shingles of which the lesser is `similarity` of the other or more."""
-    order = np.lexsort((fps, n, band))
-    band, fps, n, root = band[order], fps[order], n[order].astype(np.int64), root[order]
-    group = np.cumsum(np.concatenate(([True], band[1:] != band[:-1]))) << 32
-    ends = np.searchsorted(group + n, group + np.minimum(n / similarity + 1e-6, (1 << 32) - 1).astype(np.int64), side="right")
-    for item, other in _pairs(ends - np.arange(len(fps)) - 1, RUN_PAIRS):
-        other = item + 1 + other
-        able = root[item] != root[other]
-        a, b = fps[item][able], fps[other][able]
-        yield np.minimum(a, b), np.maximum(a, b)
-
-
-def _candidates(nodes: DataFrame, roots: DataFrame, similarity: float, every: bool) -> DataFrame:
-    """Pairs (a, b) of fingerprints that share a band and are not connected yet (node, root): all of them, or each row's two neighbours."""
+#: Least and most bits of a shingle bitmap; rows of a band that are compared as one block; bytes of bitmaps compared at once.
+LEAST_BITS, MOST_BITS, BLOCK, RUN_BYTES = 128, 1 << 15, 4096, 1 << 25
 
-    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def bitmap(shingles: np.ndarray) -> bytes:
+    """One bit a place, one to two places a shingle (fewer for more than MOST_BITS shingles): whether an odd number of the shingles falls on it.
+
+    Bitmaps of two sets differ in no more bits than the sets differ in shingles, so that a difference is a proven bound.
+    """
+    bits = min(max(LEAST_BITS, 1 << len(shingles).bit_length()), MOST_BITS)
+    odd = np.bincount((shingles & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differing(maps: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Differing bits of pairs of bitmaps, the longer folded to the length of the shorter."""
+    sizes = np.array([len(m) for m in maps])
+    least, out = np.minimum(sizes[left], sizes[right]), np.zeros(len(left), dtype=np.int64)
+    for size in np.unique(least).tolist():
+        pairs = np.flatnonzero(least == size)
+        rows, place = np.unique(np.concatenate((left[pairs], right[pairs])), return_inverse=True)
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(maps[r], dtype=np.uint64).reshape(-1, size // 8), axis=0) for r in rows.tolist()])
+        step, n = max(1, RUN_BYTES // size), len(pairs)
+        for at in range(0, n, step):
+            x, y = folded[place[at : min(at + step, n)]], folded[place[n + at : n + min(at + step, n)]]
+            out[pairs[at : at + step]] = np.bitwise_count(x ^ y).sum(axis=1)
+    return out
+
+
+def _in_blocks(similarity: float, every: bool):
+    """For mapInArrow over rows (band, block, copy, node, root, n, bitmap), sorted by the first three, copies after those at home.
+
+    Pairs (a, b, bits) of a row at home with another of its block that have different roots, and bitmaps that allow the
+    similarity: all of them, or each row's nearest of a run of rows. What is held is the rows at home of one block.
+    """
+    worst = (1 - similarity) / (1 + similarity)
+
+    def pairs(group: np.ndarray, copy: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, maps: list[bytes], known: int) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+        which = np.cumsum(np.concatenate(([False], group[1:] != group[:-1])))
+        homes = np.add.reduceat(~copy, starts, dtype=np.int64)
+        # A row meets those at home before it; rows before `known` have met already.
+        partners = np.minimum(np.arange(len(node)) - starts[which], homes[which])
+        partners[:known] = 0
+        for item, other in _pairs(partners, RUN_PAIRS):
+            other = starts[which[item]] + other
+            able = (root[item] != root[other]) & (np.minimum(n[item], n[other]) >= similarity * np.maximum(n[item], n[other]))
+            item, other = item[able], other[able]
+            bits, total = _differing(maps, item, other), n[item] + n[other]
+            able = bits <= worst * total + 1e-9
+            item, other, part = item[able], other[able], (bits[able] << 20) // total[able]
+            if every:
+                a, b = node[item], node[other]
+            else:
+                a, b, part = (np.concatenate(x) for x in ((node[item], node[other]), (node[other], node[item]), (part, part)))
+                order = np.lexsort((b, part, a))
+                a, b, part = a[order], b[order], part[order]
+                first = np.concatenate((np.ones(min(1, len(a)), dtype=bool), a[1:] != a[:-1]))
+                a, b, part = a[first], b[first], part[first]
+            if len(a):
+                yield pa.record_batch([pa.array(a), pa.array(b), pa.array(part)], names=["a", "b", "bits"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple = ()
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                fps, bands, n, root = batch.slice(at, 4096).columns
-                who = bands.value_parent_indices()
-                yield pa.record_batch([bands.flatten(), fps.take(who), n.take(who), root.take(who)], names=["band", "fp", "n", "root"])
-
-    def compare(band: np.ndarray, fps: np.ndarray, n: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if every:
-            yield from _all_pairs(band, fps, n, root, similarity)
-            return
-        a, b = _neighbours(band, fps, n, similarity)
-        own, place = np.unique(fps, return_index=True)
-        of = lambda x: root[place[np.searchsorted(own, x)]]
-        able = of(a) != of(b)
-        yield a[able], b[able]
-
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "bands", "n", F.coalesce("root", "fp").alias("root"))
-    copies = rooted.mapInArrow(copy, "band bigint, fp bigint, n int, root bigint")
-    return copies.repartition("band").sortWithinPartitions("band").mapInArrow(_in_runs(compare), "a bigint, b bigint").distinct()
+            if not batch.num_rows:
+                continue
+            band, block, copy, node, root, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns[:6])
+            own = [band, block.astype(np.int64), copy, node, root, n.astype(np.int64), np.array([*batch.column(6).to_pylist(), None], dtype=object)[:-1]]
+            whole = [np.concatenate(x) for x in zip(held, own, strict=True)] if held else own
+            change = (whole[0][1:] != whole[0][:-1]) | (whole[1][1:] != whole[1][:-1])
+            group = np.concatenate(([0], np.cumsum(change)))
+            yield from pairs(group, *whole[2:6], whole[6].tolist(), len(whole[0]) - batch.num_rows)
+            last = (group == group[-1]) & ~whole[2]
+            held = tuple(x[last] for x in whole)
+
+    return run
 
 
 def _shingles(docs: DataFrame, words: int) -> DataFrame:
-    """fp and the distinct shingle hashes of documents (fp, text)."""
+    """node, fp, n, bitmap and the distinct shingle hashes of documents (node, fp, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            found = [x.view(np.int64) for x in shingle_sets(part.column(1), words)]
-            yield pa.record_batch([part.column(0), pa.array(found, pa.list_(pa.int64()))], names=["fp", "shingles"])
+            sets = shingle_sets(part.column(2), words)
+            columns = [part.column(0), part.column(1), pa.array([len(x) for x in sets], pa.int32()), pa.array([bitmap(x) for x in sets], pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["node", "fp", "n", "bitmap", "shingles"])
 
-    return docs.mapInArrow(run, "fp bigint, shingles array<bigint>")
+    return in_batches(docs).mapInArrow(run, "node bigint, fp bigint, n int, bitmap binary, shingles array<bigint>")
 
 
-def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, words: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have this Jaccard similarity or more."""
-    asked = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct().join(nodes.select("fp", "id"), "fp")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").join(asked, "id").select("fp", F.coalesce("text", F.lit("")).alias("text"))
-    sets = written(_shingles(texts, words).groupBy("fp").agg(F.min("shingles").alias("shingles")), "shingles")
-    side = lambda name: sets.select(F.col("fp").alias(name), F.col("shingles").alias(f"{name}_set"))
+def _alike(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) between the fingerprints of those pairs of nodes whose shingle sets have this Jaccard similarity or more."""
+    side = lambda name: sets.select(F.col("node").alias(name), F.col("fp").alias(f"{name}_fp"), F.col("shingles").alias(f"{name}_set"))
     both = F.size(F.array_intersect("a_set", "b_set"))
     good = both >= similarity * (F.size("a_set") + F.size("b_set") - both)
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter((both > 0) & good).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter((both > 0) & good).select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"))
+
+
+def _central(members: DataFrame) -> DataFrame:
+    """Pairs (a, b): each node with the most central node of those bands that it shares, of these nodes the one that it shares most bands with.
+
+    A node is the more central the more rows its bands have. A row a node, whatever the size of a band.
+    """
+    rank = members.groupBy("node").agg(F.sum("rows").alias("rank"))
+    heads = members.join(rank, "node").groupBy("band").agg(F.max(F.struct("rank", "node")).alias("head"))
+    met = members.join(written(heads, "heads"), "band").filter(F.col("head.node") != F.col("node")).groupBy(F.col("node").alias("a"), F.col("head").alias("head")).agg(F.count("*").alias("shared"))
+    return met.groupBy("a").agg(F.max(F.struct("shared", "head")).alias("best")).select("a", F.col("best.head.node").alias("b"))
+
+
+def _across(members: DataFrame, sets: DataFrame, roots: DataFrame, similarity: float, every: bool) -> DataFrame | None:
+    """Pairs (a, b) of nodes that share a band, have different roots, and bitmaps that allow the similarity: all, or each node's nearest; None where no band has two roots.
+
+    A band of many rows is dealt into blocks. Rows of its most common root are in one block each; all others are at home
+    in one and copied to the rest, so that every pair with different roots meets.
+    """
+    known = sets.select("node", "fp", "n", "bitmap").join(roots.select(F.col("node").alias("of"), "root"), F.col("fp") == F.col("of"), "left").select("node", "n", "bitmap", F.coalesce("root", "fp").alias("root"))
+    rooted = members.select("band", "node").join(known.select("node", "root"), "node")
+    mixed = rooted.groupBy("band", "root").agg(F.count("*").alias("rows")).groupBy("band").agg(F.count("*").alias("roots"), F.sum("rows").alias("rows"), F.max(F.struct("rows", "root")).alias("main"))
+    mixed = written(mixed.filter("roots > 1").select("band", F.col("main.root").alias("main"), F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "mixed")
+    if mixed.isEmpty():
+        return None
+    dealt = members.select("band", "node").join(mixed, "band").join(known, "node").withColumn("home", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    blocks = F.when(F.col("root") == F.col("main"), F.array("home")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.select("band", F.explode(blocks).alias("block"), "home", "node", "root", "n", "bitmap").select("band", "block", (F.col("block") != F.col("home")).alias("copy"), "node", "root", "n", "bitmap")
+    met = dealt.repartition("band", "block").sortWithinPartitions("band", "block", "copy", "node").mapInArrow(_in_blocks(similarity, every), "a bigint, b bigint, bits bigint")
+    if every:
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return met.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
 
 
 def similar(docs: DataFrame, nodes: DataFrame, known: DataFrame, similarity: float, words: int = WORDS) -> DataFrame:
-    """known edges (a, b) between fingerprints, and those between texts whose shingles have this Jaccard similarity or more.
+    """known edges (a, b) between fingerprints, and enough of those between texts whose shingles have this Jaccard similarity to connect all that are linked.
 
-    nodes has for each fingerprint the document (id) that stands for it, its bands and its number of shingles. Each
-    pair that is taken was compared shingle by shingle. Neighbours go first, which connects most of a group of copies;
-    then all pairs of a band that are not connected yet, however many rows the band has.
+    nodes has for each shingle set (node) a document (id, digest of its text) that stands for it, its fingerprint and
+    its bands. Every edge comes from a comparison of shingle sets. First each node is compared with a central one, then with the nearest
+    one of another component; last, all pairs that share a band and are not connected yet, but for those that their
+    bitmaps prove to be less similar. A band with a third of all rows is no single task in any of these.
     """
-    edges = written(known, "known")
-    for every in (False, True):
-        pairs = written(_candidates(nodes, written(components(edges), "roots"), similarity, every), "pairs")
-        edges = written(edges.unionByName(_alike(docs, nodes, pairs, similarity, words)), "alike")
+    every = nodes.select("node", F.explode("bands").alias("band"))
+    shared = written(every.groupBy("band").agg(F.count("*").alias("rows")).filter("rows > 1"), "shared")
+    members = written(every.join(shared, "band"), "members")
+    # The text of each node, told by id and digest; whole texts cross one exchange.
+    asked = members.select("node").distinct().join(nodes.select("node", "fp", "id", "digest"), "node")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("digest"), "text").join(asked, ["id", "digest"])
+    sets = written(_shingles(texts.groupBy("id", "digest", "node", "fp").agg(F.first("text").alias("text")).select("node", "fp", "text"), words), "shingles")
+    edges = known.unionByName(written(_alike(sets, _central(members), similarity), "central"))
+    for last in (False, True):
+        pairs = _across(members, sets, components(edges), similarity, last)
+        if pairs is None:
+            break
+        pairs = written(pairs, "pairs")
+        if not pairs.isEmpty():
+            edges = edges.unionByName(written(_alike(sets, pairs, similarity), "alike"))
     return edges
 
 
@@ -415,16 +492,21 @@ def near_duplicates(docs: DataFrame, bits: int = BITS, size: int = SHINGLE, seed
     row. A document without id counts for links but never names a component (null if none of it has an id).
     Other columns are ignored, whatever their names; an empty table gives no rows.
     """
-    prints = written(fingerprints(docs, size, seed, words if similarity else None), "fingerprints")
+    own = docs.select("doc_id", "text")
+    prints = written(fingerprints(own, size, seed, words if similarity else None), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     edges = links(nodes, bits)
     if similarity:
-        # Texts of one fingerprint are linked already, so the one with the smallest id stands for all.
-        wide = prints.filter("doc_id is not null").groupBy("fp").agg(F.min(F.struct("doc_id", "bands", "n")).alias("w")).select("fp", F.col("w.doc_id").alias("id"), "w.bands", "w.n")
-        edges = similar(docs, written(wide, "bands"), edges, similarity, words)
+        edges = written(edges, "known")
+        # Equal shingle sets are one node, for which the document with the smallest id stands; their fingerprints are linked.
+        filled = prints.filter("doc_id is not null and size(bands) > 0")
+        sets = filled.groupBy("node").agg(F.min(F.struct("doc_id", "digest", "fp", "bands")).alias("w"))
+        sets = written(sets.select("node", F.col("w.doc_id").alias("id"), "w.digest", "w.fp", "w.bands"), "bands")
+        equal = filled.select("node", F.col("fp").alias("a")).distinct().join(sets.select("node", F.col("fp").alias("b")), "node").filter("a <> b")
+        edges = similar(own, sets, edges.unionByName(equal.select("a", "b")), similarity, words)
     roots = components(edges)
     named = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
-    classes = named.join(smallest, F.col("root") == F.col("of")).select(F.col("fp").alias("node"), "component_id")
+    classes = named.join(smallest, F.col("root") == F.col("of")).select(F.col("fp").alias("of"), "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(classes, F.col("fp") == F.col("node")).select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return prints.join(classes, F.col("fp") == F.col("of")).select("doc_id", hexed.alias("fingerprint"), "component_id")

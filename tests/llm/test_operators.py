@@ -558,23 +558,66 @@ def test_similar_texts(spark, documents, odd, none):
     assert simhash.near_duplicates(none, similarity=0.8).count() == 0
 
 
-def test_candidates_are_two_a_row_at_most():
-    rng = np.random.default_rng(3)
-    anchor, fps = np.repeat(np.arange(20), 500), rng.integers(-(2**63), 2**63 - 1, 10_000)
-    a, b = simhash._neighbours(anchor, fps, np.zeros(10_000, dtype=np.int64))
-    assert len(a) <= 2 * len(fps) and (a < b).all() and set(a) | set(b) == set(fps)
-
-
-def test_similar_pairs_in_crowded_bands():
-    # 300 texts that share every band, and pairs of which none stand side by side.
-    fps = np.random.default_rng(6).permutation(300).astype(np.int64)
-    band, n, root = np.zeros(300, dtype=np.int64), np.full(300, 100), np.where(fps < 2, 0, fps)
-    met = {(x, y) for a, b in simhash._all_pairs(band, fps, n, root, 0.8) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
-    assert met == {(x, y) for y in range(300) for x in range(y)} - {(0, 1)}
-    n[:] = np.arange(300) + 1
-    met = {(x, y) for a, b in simhash._all_pairs(band, fps, n, fps, 0.8) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
-    size = dict(zip(fps.tolist(), n.tolist(), strict=True))
-    assert met == {(x, y) for y in range(300) for x in range(y) if min(size[x], size[y]) >= 0.8 * max(size[x], size[y])}
+def test_bitmaps_differ_in_no_more_bits_than_their_sets():
+    rng = np.random.default_rng(4)
+    sets, maps = [], []
+    for size in (0, 1, 60, 100, 130, 700, 3000, 60_000):
+        base = rng.integers(0, 2**64, size, dtype=np.uint64)
+        for edits in (0, 1, 5, size // 9):
+            own = np.unique(np.concatenate((base[edits:], rng.integers(0, 2**64, edits, dtype=np.uint64))))
+            sets.append(own)
+            maps.append(simhash.bitmap(own))
+    left, right = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    bits = simhash._differing(maps, left, right)
+    apart = np.array([len(np.setxor1d(sets[i], sets[j])) for i, j in zip(left, right, strict=True)])
+    assert (bits <= apart).all() and (bits[left == right] == 0).all()
+    near = (apart > 0) & (apart < 30) & (np.array([min(len(sets[i]), len(sets[j])) for i, j in zip(left, right, strict=True)]) >= 60)
+    assert near.any() and bits[near].sum() > 0.7 * apart[near].sum()
+
+
+@pytest.mark.parametrize(("block", "batch"), [(4096, 2000), (40, 2000), (40, 7), (1, 50)])
+def test_all_rows_of_a_band_meet_in_blocks(spark, monkeypatch, block, batch):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    rng = random.Random(9)
+    # Three bands; of the first half of the rows have one root, of the second none share one, the third has one root.
+    n = {k: rng.randint(50, 200) for k in range(150)}
+    root = {k: 1000 if k < 50 else 1000 + k // 3 for k in n}
+    bands = {1: list(range(100)), 2: list(range(60, 150)), 3: list(range(40))}
+    bits = simhash.bitmap(np.arange(5, dtype=np.uint64))
+    members = spark.createDataFrame([(b, k) for b, ks in bands.items() for k in ks], "band bigint, node bigint")
+    sets = spark.createDataFrame([(k, k, m, bits) for k, m in n.items()], "node bigint, fp bigint, n int, bitmap binary")
+    roots = spark.createDataFrame(list(root.items()), "node bigint, root bigint")
+    able = {(a, b) for ks in bands.values() for a in ks for b in ks if a < b and root[a] != root[b] and min(n[a], n[b]) >= 0.8 * max(n[a], n[b])}
+    found = Counter(map(tuple, simhash._across(members, sets, roots, 0.8, True).collect()))
+    assert set(found) == able and max(found.values()) == 1
+    nearest = simhash._across(members, sets, roots, 0.8, False).collect()
+    assert len({r.a for r in nearest}) == len(nearest) == len({k for pair in able for k in pair})
+    assert {(min(r), max(r)) for r in map(tuple, nearest)} <= able
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("block", [4096, 50])
+def test_a_large_group_of_near_copies(spark, monkeypatch, block):
+    # As many edits as leave most pairs below the similarity, so that texts hang together by some of the others only.
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(14)
+    base = words(rng, 150)
+    rows = [(k, edited(rng, base, rng.randint(0, 14))) for k in range(300)] + [(1000 + k, words(rng, 150)) for k in range(50)]
+    shingles = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in rows}
+    prints, parent = {d: simhash_by_hand(t) for d, t in rows}, {d: d for d in shingles}
+
+    def find(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for a in shingles:
+        for b in shingles:
+            if a < b and ((prints[a] ^ prints[b]).bit_count() <= 2 or len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])):
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), similarity=0.8).collect()}
+    assert found == {d: find(d) for d in found} and 150 < max(Counter(found.values()).values()) < 300
 
 
 @pytest.mark.parametrize("others", [0, 1500])
