@@ -1,20 +1,20 @@
 """License scans: ordered signature rules on normalised words, gated by keywords, native.
 
 A text becomes its words, lower-cased and separated by single spaces, so that a rule is a pattern over words.
-Rules are built from license names and the forms in which a name is used: SPDX tags, addresses, grants, titles,
-bare names. A text is searched by a rule only if it has a keyword of the gate and the rule's own keyword. Where
-places overlap, one inside another of the same or a higher priority is suppressed. No Python runs on the executors.
+There are rules for sentences of the licenses themselves and of the notices that stand in files, each written by hand,
+and rules for the forms in which a license is named: SPDX tags, addresses, grants, titles, bare names. A text is
+searched by a rule only if it has a keyword of the gate and the rule's own keywords. Where places overlap, one inside
+another of the same or a higher priority is suppressed. No Python runs on the executors.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm._native import CLOSE, OPEN, let
+from quillmill.llm._native import CLOSE, OPEN, folded, let
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -29,10 +29,10 @@ NAMES = (
     ("apache-2", "apache", "apache( software)?( license)?( version| v)? ?2( 0)?", "apache 2 0", "apache org licenses license 2 0"),
     ("apache-1.1", "apache", "apache( software)?( license)?( version| v)? ?1 1", "apache 1 1", "apache org licenses license 1 1"),
     ("apache-1", "apache", "apache( software)?( license)?( version| v)? ?1( 0)?(?! 1)", "apache 1 0", "apache org licenses license 1 0"),
-    ("bsd-2-clause", "bsd", "(simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)", "bsd 2 clause", "opensource org licenses bsd 2 clause"),
+    ("bsd-2-clause", "bsd|freebsd|simplified bsd", "(simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)", "bsd 2 clause", "opensource org licenses bsd 2 clause"),
     ("bsd-3-clause", "bsd", "(new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd)", "bsd 3 clause", "opensource org licenses bsd 3 clause"),
     ("bsd-4-clause", "bsd", "(original bsd|bsd 4 clause|4 clause bsd|four clause bsd)", "bsd 4 clause", "spdx org licenses bsd 4 clause"),
-    ("0bsd", "bsd", "(zero clause bsd|bsd zero clause|0 clause bsd|0bsd)", "0bsd", "opensource org licenses 0bsd"),
+    ("0bsd", "bsd|0bsd|zero clause|0 clause", "(zero clause bsd|bsd zero clause|0 clause bsd|0bsd)", "0bsd", "opensource org licenses 0bsd"),
     ("isc", "isc", "isc", "isc", "opensource org licenses isc"),
     ("gpl-1", "general public licen|gpl", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( version| v)? ?1( 0)?", "gpl 1 0( only| or later)?", "gnu org licenses old licenses gpl 1 0"),
     ("gpl-2", "general public licen|gpl", "(gnu )?(general public license|gpl)( as published by the free software foundation)?( either)?( version| v)? ?2( 0)?", "gpl 2 0( only| or later)?", "gnu org licenses (old licenses )?gpl 2 0"),
@@ -42,7 +42,7 @@ NAMES = (
     ("lgpl-2.1", "lesser general|lgpl", "(gnu )?(lesser general public license|lgpl)( version| v)? ?2 1", "lgpl 2 1( only| or later)?", "gnu org licenses (old licenses )?lgpl 2 1"),
     ("lgpl-3", "lesser general|lgpl", "(gnu )?(lesser general public license|lgpl)( version| v)? ?3( 0)?", "lgpl 3 0( only| or later)?", "gnu org licenses lgpl 3 0"),
     ("agpl-3", "affero|agpl", "(gnu )?(affero general public license|agpl)( version| v)? ?3( 0)?", "agpl 3 0( only| or later)?", "gnu org licenses agpl 3 0"),
-    ("fdl-1.3", "free documentation|fdl", "(gnu )?(free documentation license|fdl|gfdl)( version| v)? ?1 [123]", "gfdl 1 [123]( only| or later)?", "gnu org licenses fdl 1 3"),
+    ("fdl-1.3", "free documentation|fdl|gfdl", "(gnu )?(free documentation license|fdl|gfdl)( version| v)? ?1 [123]", "gfdl 1 [123]( only| or later)?", "gnu org licenses fdl 1 3"),
     ("mpl-1.1", "mozilla|mpl", "(mozilla public license|mpl)( version| v)? ?1 1", "mpl 1 1", "mozilla org mpl 1 1"),
     ("mpl-2", "mozilla|mpl", "(mozilla public license|mpl)( version| v)? ?2( 0)?", "mpl 2 0", "mozilla org (en us )?mpl 2 0"),
     ("epl-1", "eclipse|epl", "(eclipse public license|epl)( version| v)? ?1( 0)?", "epl 1 0", "eclipse org legal epl v10"),
@@ -74,6 +74,86 @@ NAMES = (
     ("proprietary", "rights reserved", "all rights reserved", "licenseref proprietary", "license proprietary"),
 )
 
+# Label, a keyword that every match has, and the pattern of a sentence of the license or of its notice. What
+# another pattern's match contains gives way to it, so that a longer sentence tells licenses of one beginning apart.
+NOTICES = (
+    ("mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation"),
+    ("ncsa", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software"),
+    ("x11", "x consortium", "the name of the x consortium shall not be used in advertising"),
+    ("bsl-1", "hereby granted", "permission is hereby granted free of charge to any person or organi[sz]ation obtaining a copy of the software and accompanying documentation"),
+    ("ofl-1.1", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+    ("ofl-1.1", "font software", "this font software is licensed under the sil open font license"),
+    ("isc", "hereby granted", "permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted provided that"),
+    ("0bsd", "hereby granted", "permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted(?! provided)"),
+    ("postgresql", "hereby granted", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("hpnd", "hereby granted", "permission to use copy modify( and)? distribute( and sell)? this software and its documentation for any purpose (and without fee is hereby granted|is hereby granted without fee)"),
+    ("bsd-2-clause", "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-3-clause", "redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted provided that( [^ ]+){1,160}? (neither the names? of|the names? of the (author|copyright holder|contributors)[^ ]* may not be used)"),
+    ("bsd-4-clause", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("bsd-1-clause", "redistribution and use", "redistribution and use in source code form with or without modification (is|are) permitted"),
+    ("zlib", "held liable", "in no event will the authors? be held liable for any damages arising from the use of this software permission is granted to anyone"),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("libpng-2", "png reference library", "the png reference library is supplied as is"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "do what the", "do what the fuck you want to( public license)?"),
+    ("beerware", "retain this notice", "as long as you retain this notice you can do whatever you want with this stuff"),
+    ("json", "good not evil", "the software shall be used for good not evil"),
+    ("vim", "charityware", "vim is charityware"),
+    ("apache-2", "may not use this file", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
+    ("apache-2", "reproduction and distribution", "apache license version 2 0 january 2004( [^ ]+){0,6} terms and conditions for use reproduction and distribution"),
+    ("apache-1.1", "apache software foundation", "this product includes software developed by the apache software foundation"),
+    ("gpl-2", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation( either)? version 2"),
+    ("gpl-3", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation( either)? version 3"),
+    ("gpl", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl-2", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu library general public license"),
+    ("lgpl-2.1", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation( either)? version 2 1"),
+    ("lgpl-3", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation( either)? version 3"),
+    ("agpl-3", "free software", "is free software you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("gpl-1", "february 1989", "gnu general public license version 1 february 1989"),
+    ("gpl-2", "june 1991", "gnu general public license version 2 june 1991"),
+    ("gpl-3", "29 june 2007", "gnu general public license version 3 29 june 2007"),
+    ("lgpl-2", "june 1991", "gnu library general public license version 2 june 1991"),
+    ("lgpl-2.1", "february 1999", "gnu lesser general public license version 2 1 february 1999"),
+    ("lgpl-3", "29 june 2007", "gnu lesser general public license version 3 29 june 2007"),
+    ("agpl-3", "19 november 2007", "gnu affero general public license version 3 19 november 2007"),
+    ("fdl-1.3", "distribute and or modify this document", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mpl-2", "source code form", "this source code form is subject to the terms of the mozilla public license v( ersion)? ?2 0"),
+    ("mpl-1.1", "contents of this file", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-1", "contents of this file", "the contents of this file are subject to the mozilla public license version 1 0"),
+    ("cddl-1", "contents of this file", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("epl-1", "accompanying materials", "the accompanying materials are made available under the terms of the eclipse public license v(ersion)? ?1 0"),
+    ("epl-2", "accompanying materials", "the accompanying materials are made available under the terms of the eclipse public license v?(ersion)? ?2 0"),
+    ("cpl-1", "accompanying materials", "the accompanying materials are made available under the terms of the common public license v(ersion)? ?1 0"),
+    ("ipl-1", "ibm public license", "ibm public license version 1 0"),
+    ("eupl-1.2", "eupl", "licensed under the eupl( version| v)? ?1 [012]( or as soon they will be approved)?"),
+    ("cecill-2", "cecill", "cecill (free software )?licen[cs]e( agreement)?( version)?( 2 [01])?"),
+    ("afl-3", "academic free license", "academic free license( version| v)?( 3 0)?"),
+    ("osl-3", "open software license", "open software license( version| v)?( 3 0)?"),
+    ("qpl-1", "q public license", "the q public license( version 1 0)?"),
+    ("artistic-1", "same terms as perl", "(under|on) the same terms as perl( 5)? itself"),
+    ("ruby", "same terms as ruby", "(under|on) the same terms as ruby itself"),
+    ("python-2", "psf is making python", "psf is making python( [0-9. ]+)? available to licensee on an as is basis"),
+    ("php-3", "php software", "this product includes php software freely available from"),
+    ("openssl", "openssl project", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("ms-pl", "accompanying software", "microsoft public license ms pl this license governs use of the accompanying software"),
+    ("ms-rl", "microsoft reciprocal", "microsoft reciprocal license( ms rl)?"),
+    ("cc0", "this deed", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc0", "neighboring rights", "waived all copyright and related or neighboring rights"),
+    ("odc-by-1", "open data commons attribution", "open data commons attribution license( v1 0)?"),
+    ("pddl-1", "open data commons public domain", "open data commons public domain dedication( and)? licen[cs]e"),
+    ("sspl-1", "server side public license", "server side public license( version| v)?( 1)?"),
+    ("busl-1.1", "business source license", "business source license( version| v)?( 1 1)?"),
+    ("elastic-2", "elastic license", "elastic license( version| v)?( 2 0)?"),
+    ("commons-clause", "commons clause", "commons clause( license condition)?( v1 0)?"),
+    ("polyform-nc-1", "polyform", "polyform noncommercial license( 1 0 0)?"),
+    ("openrail-m", "openrail|open rail", "(creativeml |bigscience |bigcode )?open ?rail (m|d|s|ms)( licen[cs]e)?"),
+    ("llama", "llama", "llama [0-9]( [0-9])? community license( agreement)?"),
+    ("us-government-work", "states government|u s government", "(is|as) a work of the (united states|u s) government( and)? is not subject to copyright"),
+    ("proprietary", "strictly prohibited", "unauthori[sz]ed copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "proprietary and confidential|confidential and proprietary", "(proprietary and confidential|confidential and proprietary)"),
+)
+NOTICE_PRIORITY = 4
+
 # The form's name, its priority, a keyword of the form (an address has its first two words), the pattern around {n} (or {s} for the tag, {u} for the address).
 FORMS = (
     ("tag", 5, "spdx", "spdx license identifier {s}"),
@@ -99,19 +179,29 @@ class Rule(NamedTuple):
 
 
 def rules() -> list[Rule]:
-    """The rules in order: by priority, then as the names are listed."""
-    found = []
+    """The rules in order: by priority, notices first, then as the names are listed."""
+    found = [Rule(label, NOTICE_PRIORITY, ("", key), pattern) for label, key, pattern in NOTICES]
     for form, priority, key, around in sorted(FORMS, key=lambda f: -f[1]):
         for label, own, name, tag, address in NAMES:
             if form == "name" and label in COMMON:
                 continue
             named = " ".join(address.split(" ")[:2]) if form == "address" else "" if form == "tag" else own
             found.append(Rule(label, priority, (key, named), around.format(n=f"(?:{name})", s=f"(?:{tag})", u=f"(?:{address})")))
-    return found
+    return sorted(found, key=lambda r: -r.priority)
 
 
-#: A text without any of these is not searched: for each rule the keywords of its name, or of its form if it names none.
-GATE = tuple(sorted({key for rule in rules() for key in (rule.keywords[1] or rule.keywords[0]).split("|")}))
+def gate(all_rules: list[Rule]) -> str:
+    """A pattern that a text without any rule's keywords lacks: for each rule the keywords of its name, or of its form if it names none.
+
+    Keywords stand at the beginning of a word, so that each word is looked at once, by its first sign. One that begins
+    with another adds nothing.
+    """
+    keys = sorted({key.strip() for rule in all_rules for key in (rule.keywords[1] or rule.keywords[0]).split("|")})
+    keys = [key for key in keys if not any(key != other and key.startswith(other) for other in keys)]
+    by_sign: dict[str, list[str]] = {}
+    for key in keys:
+        by_sign.setdefault(key[0], []).append(key[1:])
+    return " (?:" + "|".join(f"{sign}(?:{'|'.join(rest)})" for sign, rest in by_sign.items()) + ")"
 
 
 def normalised(text: Column) -> Column:
@@ -156,12 +246,11 @@ def detections(words: Column, all_rules: list[Rule] | None = None) -> Column:
     def by_rule(text: Column, rule: Column) -> Column:
         pieces = F.split(F.regexp_replace(text, F.get(patterns, rule), F.lit(OPEN + "$0" + CLOSE)), OPEN)
 
-        def step(acc: Column, piece: Column) -> Column:
-            start = acc["at"]
-            place = F.struct(start.alias("start"), (-start - F.length(F.substring_index(piece, CLOSE, 1))).alias("neg_end"), (-F.get(priorities, rule)).alias("neg_priority"), rule.alias("rule"))
-            return F.struct((start + F.length(piece) - 1).alias("at"), F.concat(acc["found"], F.array(place)).alias("found"))
+        def step(at: Column, piece: Column) -> tuple[Column, Column]:
+            place = F.struct(at.alias("start"), (-at - F.length(F.substring_index(piece, CLOSE, 1))).alias("neg_end"), (-F.get(priorities, rule)).alias("neg_priority"), rule.alias("rule"))
+            return at + F.length(piece) - 1, F.array(place)
 
-        return let(pieces, lambda p: F.aggregate(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.struct(F.length(p[0]).alias("at"), none.alias("found")), step)["found"])
+        return let(pieces, lambda p: folded(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), F.length(p[0]), kind, step))
 
     def met(need: Column, i: Column, present: Column) -> Column:
         return F.exists(F.split(F.get(need, i), "\\|"), lambda key: F.array_contains(present, key))
@@ -172,15 +261,13 @@ def detections(words: Column, all_rules: list[Rule] | None = None) -> Column:
         return F.array_sort(F.flatten(F.transform(able, lambda i: by_rule(text, i))))
 
     # In order of start, then longest, then highest priority: a place is inside an earlier one if that one's end is no smaller.
-    def sweep(acc: Column, d: Column) -> Column:
+    def sweep(ends: Column, d: Column) -> tuple[Column, Column]:
         level = -d["neg_priority"]
-        hidden = F.exists(F.slice(acc["ends"], level, 6 - level), lambda e: e >= -d["neg_end"])
-        ends = F.transform(acc["ends"], lambda e, i: F.when(i + 1 == level, F.greatest(e, -d["neg_end"])).otherwise(e))
-        return F.struct(F.when(hidden, acc["ends"]).otherwise(ends).alias("ends"), F.when(hidden, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(d))).alias("kept"))
+        hidden = F.exists(F.slice(ends, level, 6 - level), lambda e: e >= -d["neg_end"])
+        later = F.transform(ends, lambda e, i: F.when(i + 1 == level, F.greatest(e, -d["neg_end"])).otherwise(e))
+        return F.when(hidden, ends).otherwise(later), F.when(hidden, none).otherwise(F.array(d))
 
-    start = F.struct(F.array(*[F.lit(-1)] * 5).alias("ends"), none.alias("kept"))
-    gate = reduce(Column.__or__, (F.contains(padded, F.lit(key)) for key in GATE))
-    return F.when(gate, let(padded, lambda t: F.aggregate(search(t), start, sweep)["kept"])).otherwise(none)
+    return F.when(F.rlike(padded, F.lit(gate(own))), let(padded, lambda t: let(search(t), lambda found: folded(found, F.array(*[F.lit(-1)] * 5), kind, sweep)))).otherwise(none)
 
 
 def scan(docs: DataFrame) -> DataFrame:

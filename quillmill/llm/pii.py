@@ -12,9 +12,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 from math import exp, log
 
 import pyarrow as pa
@@ -390,8 +392,10 @@ def find(text: str | None, weights: Weights) -> tuple[dict[str, list[tuple[int,
     base = base_spans(text or "")
     taken = sorted(x for spans in base.values() for x in spans)
     field = field_spans(text or "", weights)
-    if taken:
-        field = [(a, b, t) for a, b, t in field if not any(a < e and s < b for s, e in taken)]
+    if taken and field:
+        # Of the places that begin before an entity's end, the one that reaches furthest.
+        starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+        field = [(a, b, t) for a, b, t in field if not (n := bisect_left(starts, b)) or reach[n - 1] <= a]
     return base, field
 
 

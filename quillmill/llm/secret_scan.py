@@ -13,7 +13,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmill.llm._native import PLACES, let, markable, matches
+from quillmill.llm._native import PLACES, folded, let, markable, matches, replaced
 
 # The kinds, in their order, and their patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -113,12 +113,22 @@ def _places(text: Column, table: list[float], least_ratio: float) -> dict[str, C
 
 
 def _free(places: Column, taken: list[Column]) -> Column:
-    """Places that overlap none of those taken."""
+    """Places that overlap none of those taken; those of one array do not overlap each other.
 
-    def free(p: Column) -> Column:
-        return ~F.exists(F.concat(*taken), lambda q: (q["start"] < p["end"]) & (p["start"] < q["end"]))
+    All are met in order of their start. A place waits for what comes next, which may begin inside it.
+    """
+    own = F.transform(places, lambda p: F.struct(p["start"].alias("start"), F.lit(1).alias("free"), p["end"].alias("end")))
+    every = F.array_sort(F.concat(own, *(F.transform(t, lambda p: F.struct(p["start"].alias("start"), F.lit(0).alias("free"), p["end"].alias("end"))) for t in taken)))
+    state = F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast(PLACES).alias("waits"))
+
+    def step(acc: Column, p: Column) -> tuple[Column, Column]:
+        none = F.array().cast(PLACES)
+        stays = F.filter(acc["waits"], lambda w: w["end"] <= p["start"])
+        own = (p["free"] == 1) & (p["start"] >= acc["end"])
+        waits = F.when(own, F.array(F.struct(p["start"].alias("start"), p["end"].alias("end")))).otherwise(none)
+        return F.struct(F.when(p["free"] == 0, F.greatest(acc["end"], p["end"])).otherwise(acc["end"]).alias("end"), waits.alias("waits")), stays
 
-    return F.when(F.size(places) > 0, F.filter(places, free)).otherwise(F.array().cast(PLACES))
+    return F.when(F.size(places) > 0, folded(every, state, PLACES, step, lambda acc: acc["waits"])).otherwise(F.array().cast(PLACES))
 
 
 def _listed(kinds: list[str], places: dict[str, Column]) -> Column:
@@ -158,18 +168,13 @@ def scan(docs: DataFrame, table: list[float] | None = None, least_ratio: float =
 def redact(docs: DataFrame, table: list[float] | None = None, least_ratio: float = RATIO, mark: str = "[SECRET]") -> DataFrame:
     """docs with each secret replaced by a mark, overlapping ones by one; columns stay as they are, n_chars is counted anew.
 
-    Texts without secrets, null texts among them, stay as they are.
+    Texts without secrets, null texts among them, stay as they are. Repeated rows each stay, rows without id too; other
+    columns are kept, whatever their names; an empty table stays empty.
     """
     found = _found(docs, table, least_ratio)
     every = F.array_sort(F.concat(*(F.col("__places")[k] for k in KINDS)))
     text = F.col("text")
-
-    def step(acc: Column, p: Column) -> Column:
-        new = p["start"] >= acc["at"]
-        between = F.substring(text, (acc["at"] + 1).cast("int"), (p["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], p["end"]).alias("at"), F.when(new, F.concat(acc["out"], between, F.lit(mark))).otherwise(acc["out"]).alias("out"))
-
-    built = F.aggregate(every, F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
+    built = replaced(text, every, mark)
     some = sum((F.size(F.col("__places")[k]) for k in KINDS), F.lit(0)) > 0
     columns = [F.when(some, built).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns]
     out = found.withColumn("__some", some).select(*columns, "__some")

@@ -119,7 +119,13 @@ class Lexicon:
             else:
                 free.append((start, end))
         if free:
-            spans = {s: w for s, w in spans.items() if not any(a <= s < b for a, b in free)}
+            # Matches come in order of their ends; one that begins in an exception's place is none, so places are joined first.
+            free.sort()
+            starts, ends = np.array([a for a, _ in free]), np.maximum.accumulate([b for _, b in free])
+            own = np.fromiter(spans, dtype=np.int64, count=len(spans))
+            before = np.searchsorted(starts, own, side="right") - 1
+            inside = (before >= 0) & (own < ends[before])
+            return float(sum(w for w, out in zip(spans.values(), inside.tolist(), strict=True) if not out)), words
         return sum(spans.values()), words
 
 
@@ -249,7 +255,11 @@ def score(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], threshold
 
 
 def keep(docs: DataFrame, model: tuple[dict[str, float], np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows that score at the threshold or above; columns stay as they are."""
+    """docs without the rows that score at the threshold or above; columns stay as they are.
+
+    Null and empty texts score lowest and stay. Repeated rows stay or go together, rows without id are judged as any; an
+    empty table stays empty.
+    """
     terms, curve = model
     at = docs.columns.index("text")
 
