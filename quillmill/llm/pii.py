@@ -82,16 +82,28 @@ TYPES = ("name", "address", "birth", "iban", "ssn", "passport")
 MOST_WORDS = 7
 #: Words, and surroundings of words, that a decoder keeps at most.
 KEPT_WORDS, KEPT_PLACES = 1 << 17, 1 << 16
-EPOCHS, STEP, PENALTY, SENTENCES = 8, 0.3, 1e-4, 240
+EPOCHS, STEP, PENALTY, SENTENCES = 5, 0.3, 1e-4, 700
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 
-# Given names, family names, streets' words, cue words, months.
+# Given names, family names, streets' words, titles, cue words, months, plain words that begin sentences or
+# stand in names of things, and words of places and bodies.
 GIVEN = "john mary james anna peter laura robert julia thomas sarah michael emma david sophie daniel maria paul claire lukas hannah pierre marie jean juan carlos carmen jose lucia hans ursula stefan".split()
 FAMILY = "smith johnson miller brown davis wilson moore taylor anderson martin garcia lopez perez fernandez mueller schmidt weber fischer becker dubois moreau laurent bernard lefevre rossi novak larsen jensen".split()
 STREET = "street st avenue ave road rd lane ln drive boulevard blvd court square way strasse straße gasse rue calle plaza".split()
 TITLES = "mr mrs ms dr prof herr frau monsieur madame señor señora".split()
-CUES = "name named contact born birth birthday dob address lives residing iban account ssn social security passport signed patient customer regards sincerely geboren anschrift né née nacido".split()
+CUES = (
+    "name named names contact contacted call called born birth birthday dob address lives lived living residing iban account ssn social security passport signed signature patient customer client employee "
+    "regards sincerely faithfully dear hello hi attn met meet said says told asked wrote writes replied works by from for with and geboren anschrift né née nacido llamado llama heißt appelle"
+).split()
 MONTHS = "january february march april may june july august september october november december".split()
+PLAIN = (
+    "the a an of to in is was on that this these those at are be it we you they he she i his her its our their who what when where why how but not no yes if so then there here all any some each most "
+    "new great good first last next old big der die das und ein eine ist le la les un une est el los las una es please thanks thank see note page chapter section table figure number part monday tuesday wednesday thursday friday saturday sunday"
+).split()
+PLACES = (
+    "city state states united union european kingdom republic university college school office department ministry bank company corporation corp inc ltd gmbh museum hotel airport station river lake mountain park "
+    "committee council commission association institute agency museum london paris berlin madrid york europe africa asia america germany france spain england india china japan"
+).split()
 _OTHER = "the a of and to in is was for with on that this by from at are be it we you they report meeting price order table result city house water light music season paper number page".split()
 
 
@@ -100,32 +112,45 @@ def _shape(word: str) -> str:
         return f"d{min(len(word), 5)}"
     if word.isalpha():
         return "A" if word.isupper() else "Aa" if word[0].isupper() else "a"
-    return word if len(word) == 1 else "mix"
+    return word if len(word) == 1 else f"mix{min(len(word), 12)}"
 
 
 def _class(low: str) -> str:
-    for name, words in (("given", _SETS[0]), ("family", _SETS[1]), ("street", _SETS[2]), ("title", _SETS[3]), ("month", _SETS[5])):
+    for name, words in (("given", _SETS[0]), ("family", _SETS[1]), ("street", _SETS[2]), ("title", _SETS[3]), ("month", _SETS[5]), ("plain", _SETS[6]), ("place", _SETS[7])):
         if low in words:
             return name
     return low if low in _SETS[4] else ""
 
 
-_SETS = tuple(frozenset(x) for x in (GIVEN, FAMILY, STREET, TITLES, CUES, MONTHS))
+def _beside(kind: str, shape: str) -> str:
+    """What a segment sees of a word beside it: its class, or else whether it is capitalised or a number."""
+    return kind or ("~A" if shape in ("A", "Aa") else "~d" if shape[0] == "d" and shape[1:] else "")
 
 
-def _segment(words: list[str], lows: list[str], i: int, j: int) -> tuple[str, ...]:
-    """Features of the whole segment of words i .. j - 1."""
+_SETS = tuple(frozenset(x) for x in (GIVEN, FAMILY, STREET, TITLES, CUES, MONTHS, PLAIN, PLACES))
+
+
+#: The class of a word that says the word before it again.
+SAME = "same"
+
+
+def _classes(words: list[str]) -> list[str]:
+    return [SAME if i and w == words[i - 1] else _class(w.lower()) for i, w in enumerate(words)]
+
+
+def _segment(words: list[str], kinds: list[str], i: int, j: int) -> tuple[str, ...]:
+    """Features of the whole segment of words i .. j - 1, of words with their classes."""
     shapes = [_shape(w) for w in words[i:j]]
-    classes = [_class(x) for x in lows[i:j]]
+    classes = kinds[i:j]
     digits = sum(len(w) for w in words[i:j] if w.isdigit())
-    out = [f"n{j - i}", "s" + " ".join(shapes), "c" + " ".join(classes), f"d{min(digits, 24)}", f"l{_class(lows[i - 1]) if i else '^'}", f"r{_class(lows[j]) if j < len(lows) else '$'}", f"f{shapes[0]}", f"e{shapes[-1]}"]
+    out = [f"n{j - i}", "s" + " ".join(shapes), "c" + " ".join(classes), f"d{min(digits, 24)}", f"l{_beside(kinds[i - 1], _shape(words[i - 1])) if i else '^'}", f"r{_beside(kinds[j], _shape(words[j])) if j < len(kinds) else '$'}", f"f{shapes[0]}", f"e{shapes[-1]}"]
     if i > 1:
-        out.append(f"k{_class(lows[i - 2])}")
+        out.append(f"k{kinds[i - 2]}")
     out += {f"h{c}" for c in classes if c}
     return tuple(out)
 
 
-def _candidate(words: list[str], lows: list[str], i: int, j: int) -> bool:
+def _candidate(words: list[str], i: int, j: int) -> bool:
     """Whether an entity can span these words: it has a capital or a digit at its start and more than signs."""
     first, last = words[i], words[j - 1]
     return (first[0].isupper() or first[0].isdigit()) and (last[0].isalnum())
@@ -134,13 +159,13 @@ def _candidate(words: list[str], lows: list[str], i: int, j: int) -> bool:
 Weights = dict[tuple[int, str], float]
 
 
-def _scores(words: list[str], lows: list[str], weights: Weights) -> dict[tuple[int, int], list[float]]:
+def _scores(words: list[str], kinds: list[str], weights: Weights) -> dict[tuple[int, int], list[float]]:
     """Score of each type for each candidate segment."""
     found = {}
     for i in range(len(words)):
         for j in range(i + 1, min(i + MOST_WORDS, len(words)) + 1):
-            if _candidate(words, lows, i, j):
-                features = _segment(words, lows, i, j)
+            if _candidate(words, i, j):
+                features = _segment(words, kinds, i, j)
                 found[i, j] = [sum(weights.get((t, f), 0.0) for f in features) for t in range(len(TYPES))]
     return found
 
@@ -151,8 +176,8 @@ def _add(a: float, b: float) -> float:
 
 def _gradient(words: list[str], gold: dict[tuple[int, int], int], weights: Weights) -> dict[tuple[int, str], float]:
     """Features of the right segments less their expectation: forwards and backwards over segments."""
-    lows = [w.lower() for w in words]
-    scores, n = _scores(words, lows, weights), len(words)
+    kinds = _classes(words)
+    scores, n = _scores(words, kinds, weights), len(words)
     ending, starting = defaultdict(list), defaultdict(list)
     for (i, j), own in scores.items():
         ending[j].append((i, own))
@@ -174,7 +199,7 @@ def _gradient(words: list[str], gold: dict[tuple[int, int], int], weights: Weigh
         for t, s in enumerate(own):
             change = (gold.get((i, j)) == t) - exp(ahead[i] + s + back[j] - ahead[n])
             if abs(change) > 1e-3:
-                features = features or _segment(words, lows, i, j)
+                features = features or _segment(words, kinds, i, j)
                 for f in features:
                     out[t, f] += change
     return out
@@ -186,34 +211,60 @@ def sentences(n: int = SENTENCES, seed: int = 5) -> list[tuple[list[str], dict[t
     number = lambda k: "".join(rng.choices("0123456789", k=k))
     title = lambda x: x[0].upper() + x[1:]
 
+    def unknown() -> str:
+        """A capitalised word of no list."""
+        return title("".join(rng.choice("bcdfghjklmnprstvwyz") + rng.choice(("a", "e", "i", "o", "u", "ai", "ee", "an", "in", "or")) for _ in range(rng.randint(2, 4))))
+
     def name() -> str:
-        parts = [title(rng.choice(GIVEN)), title(rng.choice(FAMILY))]
-        return " ".join(([title(rng.choice(TITLES)) + "."] if rng.random() < 0.2 else []) + parts)
+        # Half of the names are of no list, so that their surroundings are learned too.
+        parts = [title(rng.choice(GIVEN)), title(rng.choice(FAMILY))] if rng.random() < 0.5 else [unknown(), unknown()]
+        if rng.random() < 0.1:
+            parts.insert(1, unknown())
+        if rng.random() < 0.1:
+            parts = [p.upper() for p in parts]
+        if rng.random() < 0.2:
+            return " ".join([title(rng.choice(TITLES)) + ".", *parts[rng.randint(0, 1) :]])
+        return " ".join(parts)
 
     def date() -> str:
         d, m, y = rng.randint(1, 28), rng.randint(1, 12), rng.randint(1930, 2010)
         return rng.choice([f"{d:02}/{m:02}/{y}", f"{y}-{m:02}-{d:02}", f"{d}.{m}.{y}", f"{d} {title(MONTHS[m - 1])} {y}", f"{title(MONTHS[m - 1])} {d}, {y}"])
 
     def address() -> str:
-        street = title(rng.choice(FAMILY))
+        street = title(rng.choice(FAMILY)) if rng.random() < 0.5 else unknown()
         return rng.choice([f"{rng.randint(1, 999)} {street} {title(rng.choice(STREET[:13]))}", f"{street} {title(rng.choice(STREET[13:17]))} {rng.randint(1, 200)}", f"{rng.randint(1, 99)} {title(rng.choice(STREET[17:]))} {street}"])
 
+    def iban() -> str:
+        groups = [number(4) for _ in range(rng.randint(3, 5))] + ([number(rng.randint(1, 3))] if rng.random() < 0.6 else [])
+        return " ".join([rng.choice(["DE", "FR", "ES", "GB", "BE", "IT"]) + number(2), *groups])
+
     makers = {
-        "name": (name, ["name : {}", "contact {} for", "patient {} was", "signed , {}", "customer {}", "regards , {}", "we met {} at the"]),
+        "name": (name, [
+            "name : {}", "contact {} for", "Contact {} at", "patient {} was", "The patient {} was", "signed , {}", "customer {}", "regards , {}", "Sincerely , {}", "we met {} at the", "{} lives in", "{} said that", "{} wrote to us", "called {} .",
+            "Call {} or", "Dear {} ,", "told {} that", "my name is {} and", "asked {} about", "{} works for the", "signed by {} on", "employee {} (", "Hello {} !", "the client , {} ,", "Regards {}", "{} told us that",
+        ]),
         "birth": (date, ["born on {}", "date of birth : {}", "dob {}", "geboren am {}", "birthday : {}"]),
-        "address": (address, ["address : {}", "lives at {}", "residing at {} in", "we went to {} with"]),
-        "iban": (lambda: rng.choice(["DE", "FR", "ES", "GB"]) + number(2) + " " + " ".join(number(4) for _ in range(4)), ["iban {}", "account {}", "pay to iban : {}"]),
+        "address": (address, ["address : {}", "lives at {}", "residing at {} in", "we went to {} with", "I live at {} ."]),
+        "iban": (iban, ["iban {}", "account {}", "pay to iban : {}", "IBAN {} ."]),
         "ssn": (lambda: f"{number(3)}-{number(2)}-{number(4)}", ["ssn {}", "social security number {}", "social security : {}"]),
-        "passport": (lambda: rng.choice("ABCDEFGHKLMNPR") + number(8), ["passport {}", "passport number : {}", "passport no . {}"]),
-    }
-    plain = ["{w} {d} {w}", "on {date} the {w}", "{W} {w} {w} . {W}", "{w} {d} , {d} {w}", "page {d} of {d}", "{W} {W} {w}", "price {d} . {d} {w}", "number {d} - {d} - {d}", "account {w} {w}", "the name of the {W} {w}"]
+        "passport": (lambda: rng.choice("ABCDEFGHKLMNPR") + number(8), ["passport {}", "passport number : {}", "passport no . {}", "Passport No : {}"]),
+    }
+    plain = [
+        "{w} {d} {w}", "on {date} the {w}", "{W} {w} {w} . {W}", "{w} {d} , {d} {w}", "page {d} of {d}", "{W} {W} {w}", "price {d} . {d} {w}", "number {d} - {d} - {d}", "account {w} {w}", "the name of the {W} {w}",
+        "went to the {U} {U} {w}", "in {U} {U} ,", "the {U} {U} agreed", "The {U} {U} is a {w}", "{U} {U} is a {w} of", "{U} {w} {w} .", ". {U} {U} {U} ,", "from {U} to {U}", "the {P} of {U}", "{P} {P} and the {U} {P}", "in {U} and {U} the {w}",
+        "The {w} was {w} .", "Dear {w} ,", "contact the {U} {P}", "called the {U} {P}", "{U} {U} {w} {w}", "for the {U} {w}", "by the {P} of {U} {U}", "Passport No", "with {U} {w}", "Monday in {U}", "the {w} by the {w}", "Call the {w}", ". The {U} {w}",
+        "order {d} - {d} - {d}", "{U} , {U} , {U}", "\u201c {U} {w} {U} \u201d", "See {U} {d} .", "{A} {A} {w}",
+        "{R}", "{R}", "{w} . {U} . {U} for {w}", "{U} . {U} {w}", "went to the {U} {U} for {w}", "we {U} {U} {w}", "{w} {N} {w}", "{N} {w} , {N}", "token = {H} .", "{H} {w} {H}", "{U} {U} {U} {U} {U}", "{U} {U} {U} {U} {w}",
+    ]
+    fill = {"w": lambda: rng.choice(_OTHER), "W": lambda: title(rng.choice(_OTHER)), "d": lambda: number(rng.randint(1, 4)), "date": date, "U": unknown, "P": lambda: title(rng.choice(PLACES)), "A": lambda: unknown().upper(), "R": lambda: " ".join([title(rng.choice([rng.choice(PLAIN), rng.choice(CUES), unknown()]))] * rng.randint(3, 8)),
+            "N": lambda: number(rng.randint(9, 18)), "H": lambda: "".join(rng.choices("0123456789abcdef", k=rng.randint(12, 40)))}
     for _ in range(n):
         words: list[str] = []
         gold: dict[tuple[int, int], int] = {}
         for _ in range(rng.randint(1, 3)):
-            words += rng.choices(_OTHER, k=rng.randint(1, 4))
+            words += rng.choices(_OTHER, k=rng.randint(0, 4)) + (["."] if rng.random() < 0.3 else [])
             if rng.random() < 0.5:
-                kind = rng.choice(TYPES)
+                kind = "name" if rng.random() < 0.4 else rng.choice(TYPES)
                 make, templates = makers[kind]
                 before, after = rng.choice(templates).split("{}")
                 words += _TOKEN.findall(before)
@@ -221,8 +272,7 @@ def sentences(n: int = SENTENCES, seed: int = 5) -> list[tuple[list[str], dict[t
                 gold[len(words), len(words) + len(own)] = TYPES.index(kind)
                 words += own + _TOKEN.findall(after)
             else:
-                filled = re.sub(r"\{(\w+)\}", lambda m: {"w": rng.choice(_OTHER), "W": title(rng.choice(_OTHER)), "d": number(rng.randint(1, 4)), "date": date()}[m[1]], rng.choice(plain))
-                words += _TOKEN.findall(filled)
+                words += _TOKEN.findall(re.sub(r"\{(\w+)\}", lambda m: fill[m[1]](), rng.choice(plain)))
         out.append((words, {k: v for k, v in gold.items() if k[1] - k[0] <= MOST_WORDS}))
     return out
 
@@ -248,9 +298,8 @@ def model() -> tuple[tuple[tuple[int, str], float], ...]:
 
 def _decode(words: list[str], weights: Weights) -> list[tuple[int, int, int]]:
     """The best segmentation: entities (first word, end, type), none overlapping."""
-    lows = [w.lower() for w in words]
     ending = defaultdict(list)
-    for (i, j), own in _scores(words, lows, weights).items():
+    for (i, j), own in _scores(words, _classes(words), weights).items():
         t = max(range(len(own)), key=own.__getitem__)
         if own[t] > 0:
             ending[j].append((i, t, own[t]))
@@ -279,24 +328,27 @@ class Decoder:
         for (t, feature), w in weights.items():
             self.vectors.setdefault(feature, [0.0] * len(TYPES))[t] = w
         self.codes: dict[str, tuple] = {}
+        self.again: dict[str, tuple] = {}
         self.shared: dict[tuple, tuple] = {}
         self.places: dict[tuple, list[tuple[int, int, float]]] = {}
 
-    def code(self, word: str) -> tuple:
-        """All that features take from a word, after whether an entity can start with it."""
-        code = (word[0].isupper() or word[0].isdigit(), word[0].isalnum(), _shape(word), _class(word.lower()), min(len(word), 24) if word.isdigit() else 0)
-        if len(self.codes) >= KEPT_WORDS:
+    def code(self, word: str, again: bool) -> tuple:
+        """All that features take from a word, after whether an entity can start with it; again: it is the word before it, too."""
+        kept = self.again if again else self.codes
+        code = (word[0].isupper() or word[0].isdigit(), word[0].isalnum(), _shape(word), SAME if again else _class(word.lower()), min(len(word), 24) if word.isdigit() else 0)
+        if len(kept) >= KEPT_WORDS:
             self.codes.clear()
+            self.again.clear()
             self.shared.clear()
             self.places.clear()
-        code = self.codes[word] = self.shared.setdefault(code, code)
+        code = kept[word] = self.shared.setdefault(code, code)
         return code
 
     def segments(self, window: tuple) -> list[tuple[int, int, float]]:
         """(words, type, score) of the segments from the window's third word on that score above 0; None stands for no word."""
         vectors, first = self.vectors, window[2]
         base = [0.0] * len(TYPES)
-        for feature in (f"l{window[1][3] if window[1] else '^'}", f"f{first[2]}", *([f"k{window[0][3]}"] if window[0] else [])):
+        for feature in (f"l{_beside(window[1][3], window[1][2]) if window[1] else '^'}", f"f{first[2]}", *([f"k{window[0][3]}"] if window[0] else [])):
             if v := vectors.get(feature):
                 base = [x + y for x, y in zip(base, v, strict=True)]
         out, shapes, classes, digits, met = [], "s", "c", 0, set()
@@ -312,7 +364,7 @@ class Decoder:
                     base = [x + y for x, y in zip(base, v, strict=True)]
             if word[1]:
                 after, own = window[2 + size], base
-                for feature in (f"n{size}", shapes, classes, f"d{min(digits, 24)}", f"r{after[3] if after else '$'}", f"e{word[2]}"):
+                for feature in (f"n{size}", shapes, classes, f"d{min(digits, 24)}", f"r{_beside(after[3], after[2]) if after else '$'}", f"e{word[2]}"):
                     if v := vectors.get(feature):
                         own = [x + y for x, y in zip(own, v, strict=True)]
                 best = max(own)
@@ -325,8 +377,9 @@ class Decoder:
 
     def decode(self, words: list[str]) -> list[tuple[int, int, int]]:
         """The best segmentation: entities (first word, end, type), none overlapping."""
-        known, places = self.codes, self.places
-        codes = [None, None, *(known.get(w) or self.code(w) for w in words), *[None] * (MOST_WORDS + 1)]
+        known, again, places = self.codes, self.again, self.places
+        own = [(known.get(w) or self.code(w, False)) if w != before else (again.get(w) or self.code(w, True)) for w, before in zip(words, [None, *words], strict=False)]
+        codes = [None, None, *own, *[None] * (MOST_WORDS + 1)]
         out: list[tuple[int, int, int]] = []
         held: list[tuple[int, int, int, float]] = []  # segments that overlap, one after another
         end = 0
@@ -426,7 +479,11 @@ def scan(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
 
 
 def redact(docs: DataFrame, weights: Weights | None = None) -> DataFrame:
-    """docs with each place replaced by its kind in brackets, overlapping ones by the first; columns stay as they are, n_chars is counted anew where text went."""
+    """docs with each place replaced by its kind in brackets, overlapping ones by the first; columns stay as they are, n_chars is counted anew where text went.
+
+    Null and empty texts and those without places stay as they are. Repeated rows and rows without id each stay; an empty
+    table stays empty.
+    """
     known = weights or dict(model())
     at, count = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
