@@ -3,8 +3,8 @@
 The benchmark's windows (13 consecutive words; a shorter item is one window) become a sorted array of
 64-bit hashes that is broadcast. A document's windows are hashed in one pass over its bytes; those whose
 hash is known are verified word for word before they count. The broadcast has a proven size: a benchmark
-of more than BLOCK_BYTES of text is dealt into blocks by item, each scanned against all documents, and a
-document's hits are joined afterwards.
+of more than BLOCK_BYTES of text is dealt into blocks by item, one after the other scanned against all documents,
+and a document's hits are joined afterwards.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmill.llm._store import written
 from quillmill.llm._text import LOWER, in_batches, slices, text_buffers, window_hashes, word_hashes, word_spans
 
 WINDOW = 13
-#: The most benchmark text behind one broadcast. 16 MB are about 3 million windows: 100 MB in an executor's Python.
+#: The most benchmark text behind one broadcast, some 80 MB in a Python worker; the driver makes and holds one at a time.
 BLOCK_BYTES = 16 << 20
 #: A document is contaminated if it has hits and these are at least 1 / SHARE of its words.
 SHARE = 20
@@ -31,23 +32,52 @@ _PART = "row_key binary, doc_id bigint, n_words bigint, hits array<int>, items a
 
 
 class Index:
-    """Windows of some benchmark items: by length in words, sorted hashes; by their text, the items' ids."""
+    """Windows of some benchmark items, by length in words: sorted distinct hashes, where each window's words stand, the items that have it.
+
+    Words are kept once, separated by single spaces; a window is verified against them. About 5 bytes a byte of text.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW) -> None:
-        self.items: dict[bytes, set[str]] = {}
-        hashes: dict[int, list[np.ndarray]] = {}
+        self.names: list[str] = []
+        #: Items of windows whose hash another window has, which is not to be expected; by their words.
+        self.others: dict[bytes, set[int]] = {}
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        parts: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        packed, base = [], 0
         for item, text in items:
             data = LOWER[np.frombuffer((text or "").encode(), dtype=np.uint8)]
             starts, ends, _ = word_spans(data, np.array([0, len(data)]))
             if not len(starts):
                 continue
-            size = min(window, len(starts))
-            raw = data.tobytes()
-            words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            for i in range(len(words) - size + 1):
-                self.items.setdefault(b" ".join(words[i : i + size]), set()).add(item)
-            hashes.setdefault(size, []).append(window_hashes(word_hashes(data, starts, ends), size))
-        self.hashes = {size: np.unique(np.concatenate(h)) for size, h in hashes.items()}
+            size, raw = min(window, len(starts)), data.tobytes()
+            packed.append(b" ".join([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]))
+            hashes = window_hashes(word_hashes(data, starts, ends), size)
+            stops = base + np.cumsum(ends - starts + 1) - 1
+            begins = stops - (ends - starts)
+            parts.setdefault(size, []).append((hashes, begins[: len(hashes)].astype(np.int32), stops[size - 1 :].astype(np.int32), np.full(len(hashes), len(self.names), np.int32)))
+            base += len(packed[-1]) + 1
+            self.names.append(item)
+        self.packed = b" ".join(packed)
+        for size, own in parts.items():
+            hashes, begins, stops, items_of = (np.concatenate(x) for x in zip(*own, strict=True))
+            order = np.lexsort((items_of, hashes))
+            hashes, begins, stops, items_of = hashes[order], begins[order], stops[order], items_of[order]
+            again = np.concatenate(([False], hashes[1:] == hashes[:-1]))
+            head = np.maximum.accumulate(np.where(again, 0, np.arange(len(hashes))))
+            keep = ~(again & np.concatenate(([False], items_of[1:] == items_of[:-1])))
+            for i in np.flatnonzero(again).tolist():
+                if self._words(begins, stops, i) != self._words(begins, stops, head[i]):
+                    self.others.setdefault(self._words(begins, stops, i), set()).add(int(items_of[i]))
+                    keep[i] = False
+            first = np.flatnonzero(~again)
+            count = np.add.reduceat(keep, first, dtype=np.int64)
+            self.windows[size] = (hashes[first], np.stack((begins[first], stops[first]), axis=1), np.concatenate(([0], np.cumsum(count))).astype(np.int32), items_of[keep])
+
+    def _words(self, begins: np.ndarray, stops: np.ndarray, i: int) -> bytes:
+        return self.packed[begins[i] : stops[i]]
+
+    def nbytes(self) -> int:
+        return len(self.packed) + sum(x.nbytes for own in self.windows.values() for x in own)
 
     def scan(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, set[str]]]:
         """For each row: its number of words, their starts and ends in its bytes, which are hit, the items with occurring windows."""
@@ -56,33 +86,53 @@ class Index:
         starts, ends, rows = word_spans(data, at)
         first = np.searchsorted(rows, np.arange(len(at)))
         cover = np.zeros(len(starts) + 1, dtype=np.int64)
-        found: dict[int, set[str]] = {}
+        found: dict[int, set[int]] = {}
         words, text = word_hashes(data, starts, ends), None
-        for size, known in self.hashes.items():
+        for size, (known, spans, firsts, owners) in self.windows.items():
             windows = window_hashes(words, size)
             if not len(windows):
                 continue
             place = np.minimum(np.searchsorted(known, windows), len(known) - 1)
+            met: set[tuple[int, int]] = set()
             for i in np.flatnonzero((known[place] == windows) & (rows[: len(windows)] == rows[size - 1 :])).tolist():
                 text = data.tobytes() if text is None else text
-                items = self.items.get(b" ".join(text[a:b] for a, b in zip(starts[i : i + size].tolist(), ends[i : i + size].tolist(), strict=True)))
-                if items:
-                    cover[i] += 1
-                    cover[i + size] -= 1
-                    found.setdefault(int(rows[i]), set()).update(items)
+                own, k, row = b" ".join([text[a:b] for a, b in zip(starts[i : i + size].tolist(), ends[i : i + size].tolist(), strict=True)]), int(place[i]), int(rows[i])
+                if own == self.packed[spans[k, 0] : spans[k, 1]]:
+                    if (row, k) not in met:
+                        met.add((row, k))
+                        found.setdefault(row, set()).update(owners[firsts[k] : firsts[k + 1]].tolist())
+                elif own in self.others:
+                    found.setdefault(row, set()).update(self.others[own])
+                else:
+                    continue
+                cover[i] += 1
+                cover[i + size] -= 1
         hit = np.cumsum(cover[:-1]) > 0
         for k in range(len(at) - 1):
             a, b = first[k], first[k + 1]
-            yield b - a, starts[a:b] - at[k], ends[a:b] - at[k], hit[a:b], found.get(k, set())
+            yield b - a, starts[a:b] - at[k], ends[a:b] - at[k], hit[a:b], {self.names[x] for x in found.get(k, ())}
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
+def _items(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """Items with id and text as (item, text), and the number of blocks that they are dealt into."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text")).filter("item is not null and text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-total // block_bytes))
+    return items, max(1, -(-total // block_bytes))
+
+
+def _block(items: DataFrame, k: int, n: int) -> list[tuple[str, str | None]]:
+    block = items if n == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
+    return [(r.item, r.text) for r in block.collect()]
+
+
+def _parts(keyed: DataFrame, items: DataFrame, n: int, window: int, all_rows: bool) -> DataFrame:
+    """Hits of each block as a table of its own, so that a block's index goes before the next one is made; the first has all rows if asked to."""
+    parts = []
     for k in range(n):
-        block = items if n == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
-        yield [(r.item, r.text) for r in block.collect()]
+        index = keyed.sparkSession.sparkContext.broadcast(Index(_block(items, k, n), window))
+        parts.append(written(keyed.mapInArrow(_partial(index, all_rows and k == 0), _PART), "hits"))
+        index.destroy()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _digest(items: set[str]) -> str:
@@ -97,9 +147,9 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
     ignored, whatever their names. An empty benchmark leaves every document clean; no documents, no rows.
     """
     spark = docs.sparkSession
-    blocks = list(_shared(spark, benchmark, window, block_bytes))
-    if len(blocks) == 1:
-        index = blocks[0]
+    items, n = _items(benchmark, block_bytes)
+    if n == 1:
+        index = spark.sparkContext.broadcast(Index(_block(items, 0, 1), window))
 
         def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches, "text"):
@@ -110,10 +160,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
         return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(whole, REPORT)
     # One row per document and block; documents without id are told apart by their digest, equal rows by their number.
     keyed = in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("row_key"))
-    parts = None
-    for k, block in enumerate(blocks):
-        part = keyed.mapInArrow(_partial(block, k == 0), _PART)
-        parts = part if parts is None else parts.unionByName(part)
+    parts = _parts(keyed, items, n, window, True)
     joined = parts.groupBy("row_key", "doc_id").agg(
         F.count_if(F.col("n_words").isNotNull()).alias("copies"), F.max("n_words").alias("n_words"),
         F.size(F.array_distinct(F.flatten(F.collect_set("hits")))).cast("bigint").alias("n_hit"),
@@ -126,11 +173,6 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: i
     ).drop("copy")
 
 
-def _shared(spark, benchmark: DataFrame, window: int, block_bytes: int):
-    for block in _blocks(benchmark, block_bytes):
-        yield spark.sparkContext.broadcast(Index(block, window))
-
-
 def _partial(index, all_rows: bool):
     """The first block's rows stand for the documents; later blocks add rows only where they hit."""
 
@@ -154,19 +196,19 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: in
 
     A passage goes from the first byte of its first hit word to the last byte of its last; n_chars, if there, is
     counted anew for texts that changed. Texts without hits, null texts among them, stay byte for byte. The hits of
-    a benchmark of several blocks are gathered from the original texts first, so its size changes nothing.
+    a benchmark of several blocks are gathered from the original texts first, so its size changes nothing. Repeated rows
+    stay or go together, rows without id are judged as any; without benchmark all stay, and an empty table stays empty.
     """
     columns = docs.columns
     text_at, n_chars_at, hits_at = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None, len(columns)
-    blocks = list(_shared(docs.sparkSession, benchmark, window, block_bytes))
-    if len(blocks) == 1:
-        index = blocks[0]
+    items, n = _items(benchmark, block_bytes)
+    if n == 1:
+        index = docs.sparkSession.sparkContext.broadcast(Index(_block(items, 0, 1), window))
         return in_batches(docs).mapInArrow(_cutter(lambda part: index.value.scan(part.column(text_at)), share, text_at, n_chars_at, columns), docs.schema)
     # What is hit depends on the text alone, so its digest joins the hits to the rows.
     key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
     keyed = in_batches(docs).select(F.lit(None).cast("bigint").alias("doc_id"), "text", key.alias("row_key"))
-    parts = reduce(DataFrame.unionByName, (keyed.mapInArrow(_partial(block, False), _PART) for block in blocks))
-    hits = parts.groupBy(F.col("row_key").alias("__key")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits")))).alias("__hits"))
+    hits = _parts(keyed, items, n, window, False).groupBy(F.col("row_key").alias("__key")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("hits")))).alias("__hits"))
     joined = docs.withColumn("__row_key", key).join(hits, F.col("__row_key") == F.col("__key"), "left").select(*columns, "__hits")
     return joined.mapInArrow(_cutter(lambda part: _gathered(part.column(text_at), part.column(hits_at)), share, text_at, n_chars_at, columns), docs.schema)
 
