@@ -4,8 +4,8 @@ A document's ids are cut into whole windows and a rest, so what is packed is a h
 lengths, whatever the number of documents. On it the driver enumerates combinations of two to four lengths
 that fill a window exactly, solves their repeat counts as a non-negative least-squares fit to the histogram,
 rounds these down, and packs what is left greedily, largest piece first, again by whole repeats of a pattern.
-The plan has at most 7 combinations and one greedy pattern a length; pieces find their place in it by their rank among those of their
-length, which is counted in SALTS parts so that a common length is not one task.
+The plan has at most 7 combinations and one greedy pattern a length; pieces find their place in it by their rank among
+those of their length, which is counted in parts of PART_ROWS so that a common length is not one task.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from quillmill.llm._text import in_batches, slices
 WINDOW = 4096
 END = 2
 TOKENIZER = "word_bpe_49k.json"
-SALTS = 64
+#: Pieces of one length that are ranked in one task, on average at most.
+PART_ROWS = 100_000
 ROUNDS = 200
-PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, salt int"
+PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, dealt int"
 
 # --- token ids
 
@@ -104,7 +105,7 @@ def encoder(path: str | None) -> Encoder:
 
 
 def pieces(docs: DataFrame, window: int = WINDOW, end: int = END, tokenizer: str | None = None) -> DataFrame:
-    """The pieces of each row: doc_id, start, length, ids_crc32, doc_tokens, and a salt dealt in turn."""
+    """The pieces of each row: doc_id, start, length, ids_crc32, doc_tokens, and the number dealt to it in its task."""
     last = np.array([end], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,9 +114,9 @@ def pieces(docs: DataFrame, window: int = WINDOW, end: int = END, tokenizer: str
             rows = []
             for doc, ids in zip(part.column(0).to_pylist(), encoder(tokenizer).encode(part.column(1).to_pylist()), strict=True):
                 ids += last
-                rows += [(doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, (n := n + 1) % SALTS) for at in range(0, len(ids), 4 * window) for piece in (ids[at : at + 4 * window],)]
+                rows += [(doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, (n := n + 1) & 0x7FFFFFFF) for at in range(0, len(ids), 4 * window) for piece in (ids[at : at + 4 * window],)]
             columns = list(zip(*rows, strict=True))
-            yield pa.record_batch([pa.array(c, pa.int32() if k == 5 else pa.int64()) for k, c in enumerate(columns)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])
+            yield pa.record_batch([pa.array(c, pa.int32() if k == 5 else pa.int64()) for k, c in enumerate(columns)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "dealt"])
 
     return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
@@ -208,10 +209,13 @@ def pack(docs: DataFrame, window: int = WINDOW, end: int = END, tokenizer: str |
     """
     spark = docs.sparkSession
     cut = written(pieces(docs, window, end, tokenizer), "pieces")
-    counts = written(cut.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
     histogram = np.zeros(window + 1, dtype=np.int64)
-    for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most `window` rows
+    for row in cut.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most `window` rows
         histogram[row.length] = row.n
+    # Common lengths are dealt in as many parts as their rows need; pieces are a table by now, so that their numbers stay.
+    parts = F.split(F.lit(",".join(str(-(-n // PART_ROWS)) for n in histogram.tolist())), ",").cast("array<int>")
+    cut = cut.withColumn("salt", F.pmod("dealt", F.get(parts, F.col("length").cast("int"))))
+    counts = cut.groupBy("length", "salt").agg(F.count("*").alias("n"))
     slots = spark.createDataFrame(plan(histogram, window), "size int, rank_from bigint, rank_to bigint, sequence bigint, each bigint, first_offset bigint")
     before = counts.select(F.col("length").alias("of"), F.col("salt").alias("part"), (F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     ranked = cut.withColumn("in_part", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32")))
