@@ -16,8 +16,10 @@ from quillmill.llm._native import let
 
 K = 4
 SKETCH = 64
-#: The most buckets of neighbouring ids, and rows a bucket should have on average.
-MOST_BUCKETS, BUCKET_ROWS = 8192, 20_000
+#: The most buckets of neighbouring ids, and bytes of text that a bucket should have on average.
+MOST_BUCKETS, BUCKET_BYTES = 32_768, 16 << 20
+#: Parts into which an id that many rows have can be dealt.
+_PARTS = 1 << 20
 SPACE = "[\\x20\\t\\n\\x0B\\f\\r]+"
 
 
@@ -67,40 +69,46 @@ def hexed(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
 
 
-def _bucket(doc_id: Column, splits: list[int]) -> Column:
-    """How many of the sorted splits the id reaches, by halving; -1 for a null id, so that it comes last."""
-    if not splits:
-        return F.when(doc_id.isNull(), -1).otherwise(0)
-    known = F.split(F.lit(",".join(map(str, splits))), ",").cast("array<bigint>")
-    steps = [1 << b for b in reversed(range(len(splits).bit_length()))]
-    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when((at + step <= len(splits)) & (F.get(known, at + step - 1) <= doc_id), at + step).otherwise(at))
-    return F.when(doc_id.isNull(), -1).otherwise(found)
-
-
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """docs (doc_id and the columns) with next_<column> of the next row by descending doc_id; after the last comes the first.
-
-    Rows are dealt into buckets of neighbouring ids, each sorted on its own: one shuffle, no task with all rows. The
-    first rows of the next bucket stand in each bucket as a sentinel. Equal ids are ordered by a hash of the columns;
-    rows without id come last.
+def _bucket(doc_id: Column, tie: Column, splits: list[int], nulls: int) -> Column:
+    """The bucket of an id, larger for a larger id; an id that is several of the sorted splits has as many, by the tie, as has a null id, which comes last."""
+    known = sorted(set(splits))
+    # The place of a tie among all, which are spread evenly: a smaller one stands first, in the larger bucket.
+    part = lambda n: n - 1 - F.shiftright(F.shiftrightunsigned(tie.bitwiseXOR(F.lit(-(1 << 63))), 44) * n, 20)
+    last = F.lit(-_PARTS).cast("bigint") + part(F.lit(nulls).cast("bigint"))
+    if not known:
+        return F.when(doc_id.isNull(), last).otherwise(0)
+    ids, times = (F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>") for x in (known, [splits.count(x) for x in known]))
+    steps = [1 << b for b in reversed(range(len(known).bit_length()))]
+    # How many of the splits the id reaches, by halving.
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when((at + step <= len(known)) & (F.get(ids, at + step - 1) <= doc_id), at + step).otherwise(at))
+    own = lambda at: F.when(at == 0, 0).when(F.get(ids, at - 1) == doc_id, part(F.get(times, at - 1))).otherwise(F.get(times, at - 1))
+    return F.when(doc_id.isNull(), last).otherwise(let(found, lambda at: at.cast("bigint") * _PARTS + own(at)))
+
+
+def with_next(docs: DataFrame, made: dict[str, Column]) -> DataFrame:
+    """docs (doc_id, text) with the columns made of them, and next_text and next_<column> of the next row by descending doc_id; after the last comes the first.
+
+    Rows are dealt into buckets of neighbouring ids, each sorted on its own: one shuffle, no task with all rows; rows of a
+    common id and those without id are dealt by a hash of the text. The first row of the next bucket stands in each
+    bucket as a sentinel. Equal ids are ordered by that hash; rows without id come last.
     """
     spark = docs.sparkSession
-    rows = docs.count()
-    n = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // BUCKET_ROWS)) if rows else 1
+    known = docs.withColumn("tie", F.xxhash64("text"))
+    rows, nulls, size = known.agg(F.count("*"), F.count_if(F.col("doc_id").isNull()), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n = min(MOST_BUCKETS, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES)), max(1, rows))
     splits = docs.filter("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 1 / (4 * n)) if n > 1 else []
-    dealt = docs.withColumn("bucket", _bucket(F.col("doc_id"), sorted({int(x) for x in splits})))
-    # The largest id of each bucket: at most MOST_BUCKETS rows, so that windows and broadcasts over them are bounded.
-    heads = dealt.select("bucket", "doc_id").groupBy("bucket").agg(F.max("doc_id").alias("id"))
+    dealt = known.withColumn("bucket", _bucket(F.col("doc_id"), F.col("tie"), sorted(int(x) for x in splits), max(1, -(-n * nulls // max(1, rows)))))
+    # A row a bucket, so that windows and broadcasts over them are bounded.
+    heads = dealt.groupBy("bucket").agg(F.max("doc_id").alias("id"))
     whole = Window.partitionBy(F.lit(0)).orderBy(F.desc("bucket"))
     above = heads.select(F.col("bucket").alias("head_bucket"), F.col("id"), F.coalesce(F.lag("bucket").over(whole), F.first("bucket").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing).orderBy(F.asc("bucket")))).alias("to"))
-    order = [F.desc_nulls_last("doc_id"), F.asc("tie"), *(F.asc_nulls_last(c) for c in columns)]
-    tied = dealt.withColumn("tie", F.xxhash64(*columns))
-    first = tied.join(F.broadcast(above), (F.col("bucket") == F.col("head_bucket")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    first = first.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("tie", *(F.asc_nulls_last(c) for c in columns)))).filter("place = 1")
-    sentinels = first.select("doc_id", *columns, F.col("to").alias("bucket"), "tie", F.lit(1).alias("sentinel"))
-    every = tied.select("doc_id", *columns, "bucket", "tie", F.lit(0).alias("sentinel")).unionByName(sentinels)
-    follow = Window.partitionBy("bucket").orderBy("sentinel", *order)
-    return every.select("doc_id", *columns, "sentinel", *(F.lead(c).over(follow).alias(f"next_{c}") for c in columns)).filter("sentinel = 0").drop("sentinel")
+    first = dealt.join(F.broadcast(above), (F.col("bucket") == F.col("head_bucket")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    first = first.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("tie", "text"))).filter("place = 1")
+    sentinels = first.select("doc_id", "text", F.col("to").alias("bucket"), "tie", F.lit(1).alias("sentinel"))
+    # What is made of a row is made once, before the exchange.
+    every = dealt.select("doc_id", "text", "bucket", "tie", F.lit(0).alias("sentinel")).unionByName(sentinels).select("*", *(c.alias(k) for k, c in made.items()))
+    follow = Window.partitionBy("bucket").orderBy("sentinel", F.desc_nulls_last("doc_id"), F.asc("tie"), F.asc("text"))
+    return every.select("doc_id", "text", *made, "sentinel", *(F.lead(c).over(follow).alias(f"next_{c}") for c in ("text", *made))).filter("sentinel = 0").drop("sentinel")
 
 
 def fingerprints(docs: DataFrame, k: int = K, size: int = SKETCH) -> DataFrame:
@@ -111,7 +119,7 @@ def fingerprints(docs: DataFrame, k: int = K, size: int = SKETCH) -> DataFrame:
     empty table gives no rows.
     """
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(own.withColumn("prints", sketch(F.col("text"), k, size)), ["text", "prints"])
+    pairs = with_next(own, {"prints": sketch(F.col("text"), k, size)})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (n - half).cast("int")), F.substring("next_text", F.lit(1), half))
