@@ -19,14 +19,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """(doc_id, text, y) of labelled rows outside the held-out fold, `most` of them or a few more, chosen by a hash of the id.
+    """(doc_id, text, y) of labelled ids outside the held-out fold, `most` of them or a few more, chosen by a hash of the id.
 
-    Labels other than 0 and 1, and ids that are null or have both, are left out; repeated equal labels count once. The ids are a
-    broadcast whose size `most` bounds; texts stay where they are read.
+    Labels other than 0 and 1, and ids that are null or have both, are left out; repeated equal labels count once, and of the
+    rows of one id the least text does, so that rows are bounded as ids are. The ids are a broadcast whose size `most` bounds; texts stay where they are read.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("id"), F.col(label).cast("double").alias("y")).filter("id is not null and y in (0, 1)")
     known = known.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("also")).filter("y = also").filter(fold(F.col("id")) != 0)
     n = known.count()
     if n > most:
         known = known.filter(F.pmod(F.xxhash64("id"), F.lit(_STEPS)) < int(_STEPS * most / n))
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(known.select("id", "y")), F.col("doc_id") == F.col("id")).select("doc_id", "text", "y")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(known.select("id", "y")), F.col("doc_id") == F.col("id")).groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")

@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session. Where it is unset: on one machine (tests) a folder made here, on a cluster one in the warehouse."""
+    """spark.checkpoint.dir of the session. Where it is unset: on one machine (tests) a folder made here, on a cluster an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = held.get() if held.isDefined() else None
     if not folder:
-        alone = spark.sparkContext.master.split("[")[0] == "local"
-        folder = "file://" + tempfile.mkdtemp(prefix="quillmill-") if alone else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/quillmill-checkpoints"
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir is unset: it names the folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="quillmill-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 

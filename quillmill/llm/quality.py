@@ -3,7 +3,7 @@
 Words and runs of signs are hashed to a fixed number of slots as unigrams and bigrams, and once more by shape
 (length, case, sign, equal to the word before), so that a habit such as shouting or stuttering is one feature
 whatever the words. A row's values are counts over its number of words. Training runs over a bounded sample in
-a few shards, each a task with its own leader; their weights are averaged. A model is 2**BITS numbers.
+a few shards, bounded in rows and bytes, each a task with its own leader; their weights are averaged. A model is 2**BITS numbers.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmill.llm._labels import held_out, sample
+from quillmill.llm._store import written
 from quillmill.llm._text import BYTE_BASE, LOWER, U64, WORD, in_batches, mix, slices, span_hashes, text_buffers
 
 BITS = 18
-#: Labelled rows to fit on, and rows a shard has on average.
-MOST_LABELLED, SHARD_ROWS = 16_384, 4_096
+#: Labelled rows to fit on; rows, and bytes of text, that a shard has on average at most. Features take some 10 bytes a byte of text.
+MOST_LABELLED, SHARD_ROWS, SHARD_BYTES = 16_384, 4_096, 16 << 20
 EPOCHS = 4
 #: Step, smoothing and penalties of the leader.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.05
@@ -110,8 +111,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
                     leader.learn(i, x, y)
             yield pa.record_batch([pa.array([len(rows)]), pa.array([sum(r[1] for r in rows)]), pa.array([leader.weights(slice(None)).tobytes()])], names=["n", "ones", "weights"])
 
-    chosen = sample(in_batches(docs), labels, label, most).withColumn("order", F.xxhash64("doc_id", "text"))
-    shards = max(1, most // SHARD_ROWS)
+    chosen = written(sample(in_batches(docs), labels, label, most).withColumn("order", F.xxhash64("doc_id", "text")), "labelled")
+    size = chosen.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = max(1, most // SHARD_ROWS, -(-size // SHARD_BYTES))
     known = chosen.select("text", "y", "order").repartition(shards, F.pmod("order", F.lit(shards))).mapInArrow(lead, "n bigint, ones double, weights binary").collect()
     rows, ones = sum(r.n for r in known), sum(r.ones for r in known)
     if not 0 < ones < rows:
