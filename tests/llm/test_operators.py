@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -71,6 +72,18 @@ def test_decontamination(documents, benchmark, block_bytes):
     assert any(r.contaminated for r in found)
 
 
+def test_index_takes_few_bytes_and_tells_items_apart():
+    rng = random.Random(31)
+    shared = words(rng, 40)
+    items = [(str(k), f"{words(rng, 300)} {shared if k % 3 else ''} {words(rng, 300)}") for k in range(200)] + [("short", "Only Three Words"), ("none", None), ("again", "only three words")]
+    index = decontaminate.Index(items)
+    assert index.nbytes() < 6 * sum(len((t or "").encode()) for _, t in items)
+    docs = [f"x {shared} y only three words", "only three", items[0][1], None]
+    by_hand = windows_by_hand([(k, t) for k, t in enumerate(docs)], [i for i in items if i[1]])
+    found = [(int(n), int(hit.sum()), len(met)) for n, _, _, hit, met in index.scan(pa.array(docs))]
+    assert Counter((k, *f) for k, f in enumerate(found)) == Counter(tuple(r)[:4] for r in by_hand)
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 10])
 def test_decontamination_of_odd_rows(spark, odd, none, block_bytes):
     items = [(1, "some words"), (1, "some words"), (2, "word " * 20), (3, None), (4, ""), (None, "emoji"), (5, "É"), (6, "é")]
@@ -822,6 +835,12 @@ def test_packing(spark, documents, odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_common_lengths_are_ranked_in_parts(spark, documents, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 5)
+    docs = documents.select("doc_id", "text").unionByName(spark.createDataFrame([(5000, "same text")] * 90, "doc_id bigint, text string"))
+    check_packing(packing.pack(docs).collect(), texts(docs))
+
+
 def test_encoder_keeps_its_words_in_bounds(monkeypatch):
     import public_tokenizers
 
@@ -908,11 +927,26 @@ def test_fingerprints(spark, documents, odd, none):
 
 
 def test_next_rows_over_many_buckets(spark, monkeypatch):
-    monkeypatch.setattr(syncmers, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(syncmers, "BUCKET_BYTES", 6)
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id bigint, text string")
     rows = [(k * k % 997 + 1000 * k, f"t{k}") for k in range(100)]
-    found = {r.doc_id: r.next_text for r in syncmers.with_next(spark.createDataFrame(rows, "doc_id bigint, text string"), ["text"]).collect()}
+    found = {r.doc_id: r.next_text for r in syncmers.with_next(frame(rows), {}).collect()}
     ordered = sorted(rows, reverse=True)
     assert found == {d: ordered[(k + 1) % 100][1] for k, (d, _) in enumerate(ordered)}
+    # Ids that many rows have, rows without id, and rows that are equal in all.
+    rows = [(k // 60, f"t{k}") for k in range(180)] + [(None, f"n{k}") for k in range(90)] + [(-5, "same")] * 40 + [(10 + k, "x") for k in range(50)]
+    ties = {r.text: r.tie for r in frame(rows).select("text", F.xxhash64("text").alias("tie")).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), ties[r[1]]))
+    expected = Counter((*row, ordered[(k + 1) % len(ordered)][1]) for k, row in enumerate(ordered))
+    dealt = syncmers.with_next(frame(rows), {"size": F.length("text")})
+    assert Counter((r.doc_id, r.text, r.next_text) for r in dealt.collect()) == expected
+    assert all(r.size == len(r.text) and r.next_size == len(r.next_text) for r in dealt.collect())
+
+
+def test_common_ids_are_dealt_to_many_buckets(spark):
+    rows = spark.createDataFrame([(7 if k % 3 else None, f"t{k}") for k in range(600)], "doc_id bigint, text string").withColumn("tie", F.xxhash64("text"))
+    sizes = [r["count"] for r in rows.groupBy(syncmers._bucket(F.col("doc_id"), F.col("tie"), [7] * 20, 10)).count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 60
 
 
 def test_likeness_estimates_shared_anchors(spark):
