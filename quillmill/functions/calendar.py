@@ -67,6 +67,3 @@ def month_window(key: Column) -> Column:
     start = F.to_date(key, "yyyy-MM")
     return F.struct(start.alias("start"), F.last_day(start).alias("end"))
 
-
-def unpadded(day: Column) -> Column:
-    return F.date_format(day, "d/M/yyyy")

@@ -1,4 +1,8 @@
-"""Regions of HTML: native columns for elements that do not nest, a small DOM with a CSS subset for all else."""
+"""Regions of HTML by CSS selectors.
+
+Fingerprints and extractions walk a small DOM in Arrow batches, so that any selector is right, nested elements and deep
+pages too. `region_text` is a native column for the text of elements that are known not to nest.
+"""
 
 from __future__ import annotations
 
@@ -63,10 +67,11 @@ def region_text(html: Column, tag: str, tags: tuple[str, ...] = HIDDEN) -> Colum
 
 
 def fingerprint(html: Column, ext: Column, content: str, title: str | None = None) -> Column:
-    """struct(file_hash, basis): of the title's and content's text; of the document without comments if the content has none; of the bytes if it is no HTML."""
-    none = F.lit(None).cast("string")
-    bare = F.when(ext == "html", without(html))
-    texts = let(bare, lambda b: F.struct(F.nullif(_region(b, content), F.lit("")).alias("text"), (F.nullif(_region(b, title), F.lit("")) if title else none).alias("head")))
+    """struct(file_hash, basis): of the title's and content's text; of the document without comments if the content has none; of the bytes if it is no HTML.
+
+    content and title are CSS selectors; the first element that fits counts, with all that it encloses.
+    """
+    texts = regions(content, title)(F.when(ext == "html", html))
 
     def hashed(t: Column) -> Column:
         body = F.encode(html, "UTF-8")
@@ -78,24 +83,23 @@ def fingerprint(html: Column, ext: Column, content: str, title: str | None = Non
     return let(texts, hashed)
 
 
-def extraction(html: Column, content: str, title: str, language: Column) -> Column:
-    """struct(html, title, text_chars, extracted_with, quality_flags): the title and content regions as a document of their own."""
+def extraction(html: Column, content: str, title: str | None, language: Column) -> Column:
+    """struct(html, title, text_chars, extracted_with, quality_flags): the title and content regions as a document of their own.
 
-    def parts(kept: Column) -> Column:
-        own = inner(kept, content)
-        return F.struct(_region(kept, title).alias("head"), own.alias("own"), F.when(own.isNull(), F.coalesce(inner(kept, "body"), kept)).alias("fallback"))
+    content and title are CSS selectors. Without a content region the whole body is kept and flagged; null is an empty page.
+    """
 
     def made(p: Column) -> Column:
-        inside, named = F.coalesce(p["own"], p["fallback"]), F.coalesce(p["head"], F.lit(""))
+        named = F.coalesce(p["head"], F.lit(""))
         heading = F.when(named != "", F.format_string(HEADING, escape(named))).otherwise("")
-        document = F.format_string(DOCUMENT, escape(language), escape(named), heading, F.regexp_replace(inside, r"^\s+|\s+$", ""))
-        flagged = lambda n: F.array_compact(F.array(F.when(p["own"].isNull(), F.lit("extraction_fallback")), F.when(n == 0, F.lit("extraction_failed"))))
-        return let(F.length(_text(inside)).cast("bigint"), lambda n: F.struct(
-            F.encode(document, "UTF-8").alias("html"), p["head"].alias("title"), n.alias("text_chars"),
-            F.when(p["own"].isNull(), "body").otherwise("content").alias("extracted_with"), flagged(n).alias("quality_flags"),
-        ))
+        document = F.format_string(DOCUMENT, escape(language), escape(named), heading, p["inner"])
+        flagged = F.array_compact(F.array(F.when(~p["found"], F.lit("extraction_fallback")), F.when(p["text_chars"] == 0, F.lit("extraction_failed"))))
+        return F.struct(
+            F.encode(document, "UTF-8").alias("html"), p["head"].alias("title"), p["text_chars"].alias("text_chars"),
+            F.when(p["found"], "content").otherwise("body").alias("extracted_with"), flagged.alias("quality_flags"),
+        )
 
-    return let(let(without(html, DISCARDED), parts), made)
+    return let(_extracted(content, title)(html), made)
 
 
 # --- DOM
@@ -113,17 +117,43 @@ class Node:
     children: list[Node | str] = field(default_factory=list)
 
     def descendants(self):
-        for child in self.children:
-            if isinstance(child, Node):
-                yield child
-                yield from child.descendants()
+        """Elements below, in document order; by a stack, as pages may be nested deeply."""
+        waiting = [c for c in reversed(self.children) if isinstance(c, Node)]
+        while waiting:
+            node = waiting.pop()
+            yield node
+            waiting += [c for c in reversed(node.children) if isinstance(c, Node)]
 
     def texts(self, hidden: tuple[str, ...] = HIDDEN):
-        for child in self.children:
-            if isinstance(child, str):
-                yield child
-            elif child.tag not in hidden:
-                yield from child.texts(hidden)
+        """Text nodes below, in document order, but those inside hidden elements."""
+        waiting: list[Node | str] = self.children[::-1]
+        while waiting:
+            node = waiting.pop()
+            if isinstance(node, str):
+                yield node
+            elif node.tag not in hidden:
+                waiting += node.children[::-1]
+
+    def markup(self, hidden: tuple[str, ...] = DISCARDED) -> str:
+        """What the element encloses, as markup with every element closed, without hidden elements and comments."""
+        out: list[str] = []
+        waiting: list[Node | str | tuple[str]] = self.children[::-1]
+        while waiting:
+            node = waiting.pop()
+            if isinstance(node, tuple):
+                out.append(node[0])
+            elif isinstance(node, str):
+                out.append(node.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;"))
+            elif node.tag not in hidden:
+                out.append(f"<{node.tag}{''.join(_attribute(k, v) for k, v in node.attributes.items())}>")
+                if node.tag not in VOID:
+                    waiting += [(f"</{node.tag}>",), *node.children[::-1]]
+        return "".join(out)
+
+
+def _attribute(name: str, value: str) -> str:
+    plain = value.replace("&", "&amp;").replace('"', "&quot;")
+    return f' {name}="{plain}"'
 
 
 class _Builder(HTMLParser):
@@ -155,9 +185,13 @@ class _Builder(HTMLParser):
 
 
 def parse(html: str) -> Node:
+    """The page's elements; of markup that the parser gives up on, those before it."""
     builder = _Builder()
-    builder.feed(html)
-    builder.close()
+    try:
+        builder.feed(html)
+        builder.close()
+    except AssertionError:
+        pass
     return builder.root
 
 
@@ -206,10 +240,56 @@ def select(top: Node, selector: str) -> list[Node]:
     return [n for n in top.descendants() if any(_matches(n, g, top) for g in groups)]
 
 
+def first(top: Node, selector: str | None) -> Node | None:
+    """The first element that a selector fits; None without one."""
+    if not selector:
+        return None
+    groups = [re.sub(r"\s*>\s*", " > ", g).split() for g in selector.split(",")]
+    return next((n for n in top.descendants() if any(_matches(n, g, top) for g in groups)), None)
+
+
+def visible(node: Node | None, hidden: tuple[str, ...] = HIDDEN) -> str | None:
+    """An element's text nodes joined by single spaces; None for none."""
+    return None if node is None else " ".join(" ".join(node.texts(hidden)).split())
+
+
 def text_of(html: str | None, selector: str) -> str | None:
     """Visible text of the first element that fits; None without one."""
-    found = select(parse(html or ""), selector)
-    return " ".join(" ".join(found[0].texts()).split()) if found else None
+    return visible(first(parse(html or ""), selector))
+
+
+def regions(content: str, title: str | None):
+    """struct(text, head) of pages: the visible texts of the content and title regions, null where there is none or no text; one parse each."""
+
+    @F.pandas_udf("struct<text:string,head:string>")
+    def both(html: pd.Series) -> pd.DataFrame:
+        tops = [parse(x) if x else None for x in html]
+        return pd.DataFrame({name: [(visible(first(top, selector)) or None) if top else None for top in tops] for name, selector in (("text", content), ("head", title))})
+
+    return both
+
+
+def _extracted(content: str, title: str | None):
+    """struct(head, inner, text_chars, found) of pages: title text, the content's markup, its number of characters, whether it is the content region."""
+
+    @F.pandas_udf("struct<head:string,inner:string,text_chars:bigint,found:boolean>")
+    def parts(html: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x in html:
+            top = parse(x or "")
+            _without(top, DISCARDED)
+            own = first(top, content)
+            node = own or first(top, "body") or top
+            rows.append((visible(first(top, title), ()), node.markup(()).strip(), len(visible(node, ()) or ""), own is not None))
+        return pd.DataFrame(rows, columns=["head", "inner", "text_chars", "found"])
+
+    return parts
+
+
+def _without(top: Node, tags: tuple[str, ...]) -> None:
+    """Take elements out of the page."""
+    for node in [top, *top.descendants()]:
+        node.children = [c for c in node.children if isinstance(c, str) or c.tag not in tags]
 
 
 def region_text_dom(selector: str):

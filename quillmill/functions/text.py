@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -82,10 +83,35 @@ def parse_total(text: Column, total: str = TOTAL, no_results: str = NO_RESULTS)
     return F.when(text.isNull(), None).when(F.rlike(flat, F.lit(total)), F.regexp_extract(flat, total, 1).cast("bigint")).when(F.rlike(flat, F.lit(no_results)), F.lit(0).cast("bigint"))
 
 
-def parse_date(text: Column, pattern: str = "d/M/yyyy") -> Column:
-    """A date, day first, padded or not; null if it is empty or none."""
+# The parts of a source's date format, with the pattern each is written by, the one it is read by, and its shape.
+DATE_PARTS = {
+    "%d": ("dd", "d", r"\d{1,2}"), "%-d": ("d", "d", r"\d{1,2}"), "%m": ("MM", "M", r"\d{1,2}"), "%-m": ("M", "M", r"\d{1,2}"), "%Y": ("yyyy", "yyyy", r"\d{4}"), "%y": ("yy", "yy", r"\d{2}"),
+    "%B": ("MMMM", "MMMM", r"\p{L}+"), "%b": ("MMM", "MMM", r"\p{L}+\.?"), "%%": ("'%'", "'%'", "%"),
+}
+
+
+def _date_pattern(date_format: str, part: int) -> str:
+    """A source's format (%d/%m/%Y) as a pattern: 0 to write by, 1 to read by, 2 its shape as a regular expression."""
+    out = ""
+    for own in re.findall(r"%-?.|[A-Za-z]+|[^%]", date_format):
+        if own in DATE_PARTS:
+            out += DATE_PARTS[own][part]
+        elif own.startswith("%"):
+            raise ValueError(f"date format not supported: {own} in {date_format!r}")
+        else:
+            out += re.escape(own) if part == 2 else f"'{own}'" if own.isalpha() else "''" if own == "'" else own
+    return out
+
+
+def format_date(day: Column, date_format: str) -> Column:
+    """A date as a source writes it, by its strftime format; %-d and %-m are unpadded."""
+    return F.date_format(day, _date_pattern(date_format, 0))
+
+
+def parse_date(text: Column, date_format: str = "%d/%m/%Y") -> Column:
+    """A date by a source's strftime format, its numbers padded or not; null if it is empty or none."""
     flat = normalise(text)
-    return F.when(F.rlike(flat, F.lit(r"^\d{1,2}/\d{1,2}/\d{4}$")), F.try_to_date(flat, pattern))
+    return F.when(F.rlike(flat, F.lit(f"^{_date_pattern(date_format, 2)}$")), F.try_to_date(flat, _date_pattern(date_format, 1)))
 
 
 def unquote(text: Column) -> Column:

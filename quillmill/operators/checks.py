@@ -118,6 +118,12 @@ def markdown(verdicts: DataFrame) -> str:
     return "\n".join(["| check | verdict | detail |", "| --- | --- | --- |", *(f"| {r.check} | {'pass' if r.ok else 'FAIL'} | {r.detail} |" for r in rows)]) + "\n"
 
 
+def tsv_lines(table: DataFrame, order: list[str]) -> DataFrame:
+    """The lines of a tab-separated export, with the columns that order them; null is empty."""
+    cells = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in table.columns))
+    return table.select(*order, cells.alias("line"))
+
+
 def write_tsv(table: DataFrame, order: list[str], path: str) -> None:
     """A tab-separated export in order."""
     table.orderBy(*order).coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", "true").csv(path)

@@ -25,12 +25,14 @@ def candidates(landing: DataFrame, source: str, partition_dates: list) -> DataFr
 def file_names(rows: DataFrame) -> DataFrame:
     """rows with file_name: the slug and extension, with a mark of the URL where an identifier has several URLs.
 
-    Of an identifier's rows the least and greatest URL differ then; both are plain window aggregates.
+    Of an identifier's rows the least and greatest URL differ then: a plain aggregate, joined to the rows by a join that
+    splits an identifier with very many. A row without identifier has no mark.
     """
-    own = Window.partitionBy("identifier")
-    shared = F.min("doc_url").over(own) != F.max("doc_url").over(own)
+    several = rows.groupBy(F.col("identifier").alias("__of")).agg(F.min("doc_url").alias("__least"), F.max("doc_url").alias("__most")).filter("__least <> __most").select("__of")
+    joined = rows.join(several, F.col("identifier") == F.col("__of"), "left")
+    shared = F.col("__of").isNotNull()
     stem = F.concat(F.col("identifier_slug"), F.when(shared, text.url_suffix(F.col("doc_url"))).otherwise(""))
-    return rows.withColumn("file_name", F.concat(stem, F.lit("."), F.col("extension"))).withColumn("shared_identifier", shared)
+    return joined.select(*rows.columns, F.concat(stem, F.lit("."), F.col("extension")).alias("file_name"), shared.alias("shared_identifier"))
 
 
 def compared(rows: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
@@ -54,10 +56,10 @@ def stale_paths(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("old_path").isNotNull() & (F.col("old_path") != F.col("file_path"))).select("old_path", "file_path", text.key_of_path(F.col("old_path")).alias("stale_key"))
 
 
-def extracted(rows: DataFrame, content: str, title: str) -> DataFrame:
+def extracted(rows: DataFrame, content: str, title: str | None) -> DataFrame:
     """HTML rows (body string, language, quality_flags) with output, title, text_chars, extracted_with and their flags joined; others pass as they are."""
-    made = html.extraction(F.col("body"), content, title, F.coalesce("language", F.lit("en")))
     is_html = F.col("extension") == "html"
+    made = html.extraction(F.when(is_html, F.col("body")), content, title, F.coalesce("language", F.lit("en")))
     rows = rows.withColumn("__made", F.when(is_html, made))
     output = F.coalesce(F.col("__made")["html"], F.encode("body", "UTF-8"))
     flags = F.array_distinct(F.concat(F.coalesce("quality_flags", F.array().cast("array<string>")), F.coalesce(F.col("__made")["quality_flags"], F.array().cast("array<string>"))))

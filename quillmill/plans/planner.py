@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.functions import urls
-from quillmill.functions.calendar import unpadded
+from quillmill.functions import text, urls
 from quillmill.plans.spec import Spec
+from quillmill.store import written
 
 #: Strategies by name: whether pages are known from a count, or found one by one.
 STRATEGIES = {"declared_total": True, "follow_next": False}
@@ -48,8 +48,9 @@ def page_plan(declared: DataFrame, page_size: int) -> DataFrame:
 
 
 def listing_params(spec: Spec, facet_id: Column, start: Column, end: Column, page: Column) -> Column:
-    """Query parameters (name, value) in order; a later one of a name takes the place of an earlier one."""
-    pairs = {name: F.lit(value) for name, value in spec.static.items()} | {spec.facet_param: facet_id, spec.date_from: unpadded(start), spec.date_to: unpadded(end), spec.page: page.cast("string")}
+    """Query parameters (name, value) in order, dates in the source's format; a later one of a name takes the place of an earlier one."""
+    first, last = (text.format_date(day, spec.date_format) for day in (start, end))
+    pairs = {name: F.lit(value) for name, value in spec.static.items()} | {spec.facet_param: facet_id, spec.date_from: first, spec.date_to: last, spec.page: page.cast("string")}
     return F.array(*(F.struct(F.lit(k).alias("name"), v.alias("value")) for k, v in pairs.items()))
 
 
@@ -81,18 +82,22 @@ def continuations(pages: DataFrame) -> DataFrame:
     return pages.select("*", F.when(follows & ~loop & ~stuck, target).alias("next_url"), depth.cast("int").alias("depth"), anomalies.alias("anomalies"))
 
 
-def walk(spark: SparkSession, links: DataFrame, start: DataFrame, most: int = 100) -> DataFrame:
-    """Pages (start, page, position) met by following links (page, next) from each start, without a return; serial by nature.
+def walk(links: DataFrame, start: DataFrame) -> DataFrame:
+    """Pages (start, page, position) met by following links (page, next) from each start, until a page that was met or that has no link.
 
-    A step a round, each over all starts at once; `most` bounds the rounds, as a pager that never ends would not.
+    Of a page with several links the least counts. Steps double each round, so that a chain of any length takes as many
+    rounds as its length has bits; rounds end when none adds a page. Each is a table in the shared folder.
     """
-    links.createOrReplaceTempView("quillmill_links")
-    start.select(F.col("page").cast("string").alias("page")).createOrReplaceTempView("quillmill_starts")
-    return spark.sql(f"""
-        WITH RECURSIVE met (start, page, position, seen) MAX RECURSION LEVEL {most + 1} AS (
-          SELECT page, page, 1, array(page) FROM quillmill_starts
-          UNION ALL
-          SELECT m.start, CAST(l.next AS STRING), m.position + 1, concat(m.seen, array(CAST(l.next AS STRING)))
-          FROM met m JOIN quillmill_links l ON m.page = CAST(l.page AS STRING)
-          WHERE l.next IS NOT NULL AND NOT array_contains(m.seen, CAST(l.next AS STRING)) AND m.position < {most})
-        SELECT start, page, position FROM met""")
+    jump = written(links.filter("next is not null").groupBy(F.col("page").cast("string").alias("from")).agg(F.min(F.col("next").cast("string")).alias("to")), "jump")
+    page = F.col("page").cast("string")
+    met, steps = written(start.select(page.alias("start"), page.alias("page"), F.lit(1).cast("bigint").alias("position")).distinct(), "met"), 1
+    pages = met.count()
+    while True:
+        ahead = met.join(jump, F.col("page") == F.col("from")).select("start", F.col("to").alias("page"), (F.col("position") + steps).alias("position"))
+        # A page that is met again keeps its first position, so that a loop ends.
+        then = written(met.unionByName(ahead).groupBy("start", "page").agg(F.min("position").alias("position")), "met")
+        now = then.count()
+        if now == pages:
+            return then
+        after = jump.select(F.col("from").alias("to"), F.col("to").alias("after"))
+        jump, met, pages, steps = written(jump.join(after, "to").select("from", F.col("after").alias("to")), "jump"), then, now, 2 * steps

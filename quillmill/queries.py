@@ -12,11 +12,12 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillmill import run
 from quillmill.functions import calendar as C
 from quillmill.functions import html as H
 from quillmill.functions import text as X
 from quillmill.functions import urls as U
-from quillmill.operators import checks, landing, reconcile, transform
+from quillmill.operators import checks, landing, reconcile, records, transform
 from quillmill.plans import planner, spec
 from quillmill.sources import logs, pages
 
@@ -61,7 +62,7 @@ def _inner(x: str, tag: str) -> str:
 
 
 def _decoded(x: str) -> str:
-    for entity, plain in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    for entity, plain in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         x = f"replace({x}, '{entity}', '{plain}')"
     return x
 
@@ -138,7 +139,7 @@ _KEPT = _bare("html", H.DISCARDED)
 
 @query(f"""WITH b AS (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN regexp_replace(html, '(?i)<(/?)article', '<\\1section', 'g') ELSE html END AS html FROM pages),
 k AS (SELECT page_id, {_KEPT} AS kept, {_region('html', TITLE, H.DISCARDED)} AS title FROM b),
-i AS (SELECT page_id, title, {_inner('kept', CONTENT)} AS own, coalesce({_inner('kept', 'body')}, kept) AS fallback FROM k)
+i AS (SELECT page_id, title, {_inner('kept', CONTENT)} AS own, regexp_extract(kept, '(?is)<body\\b[^>]*>(.*)$', 1) AS fallback FROM k)
 SELECT page_id, title, CAST(length({_visible('coalesce(own, fallback)')}) AS BIGINT) AS text_chars, CASE WHEN own IS NULL THEN 'body' ELSE 'content' END AS extracted_with,
   concat_ws(',', CASE WHEN own IS NULL THEN 'extraction_fallback' END, CASE WHEN {_visible('coalesce(own, fallback)')} = '' THEN 'extraction_failed' END) AS quality_flags FROM i""")
 def extract_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,15 +159,6 @@ def _escaped(x: str) -> str:
     return x
 
 
-@query(f"""WITH p AS (SELECT page_id, coalesce({_region('html', TITLE, H.DISCARDED)}, '') AS t, regexp_replace({_inner(_KEPT, CONTENT)}, '^\\s+|\\s+$', '', 'g') AS inside FROM pages),
-d AS (SELECT page_id, '<!doctype html>' || chr(10) || '<html lang="en">' || chr(10) || '<head>' || chr(10) || '<meta charset="utf-8">' || chr(10) || '<title>' || {_escaped('t')} || '</title>' || chr(10) || '</head>' || chr(10) || '<body>' || chr(10)
-  || CASE WHEN t <> '' THEN '<h1>' || {_escaped('t')} || '</h1>' || chr(10) ELSE '' END || '<div class="content">' || chr(10) || inside || chr(10) || '</div>' || chr(10) || '</body>' || chr(10) || '</html>' || chr(10) AS doc FROM p)
-SELECT page_id, sha256(doc) AS file_hash, CAST(strlen(doc) AS BIGINT) AS file_size FROM d""")
-def assembled_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = table(spark, sf_dir, "pages").select("page_id", H.extraction(F.col("html"), CONTENT, TITLE, F.lit("en"))["html"].alias("body"))
-    return made.select("page_id", X.raw_hash(F.col("body")).alias("file_hash"), F.octet_length("body").cast("bigint").alias("file_size"))
-
-
 @query("SELECT page_id, sha256(html) AS raw_sha256, CAST(strlen(html) AS BIGINT) AS file_size FROM pages")
 def raw_hash_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.encode("html", "UTF-8")
@@ -620,15 +612,15 @@ def continuation_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planner.continuations(_decisions(spark)).select("id", "next_url", "depth", F.array_join("anomalies", ",").alias("anomalies"))
 
 
-@query("""WITH RECURSIVE l AS (SELECT doc_id AS page, CASE WHEN doc_id % 8 < 6 THEN doc_id + 1 WHEN doc_id % 8 = 6 THEN doc_id - 6 END AS next FROM documents),
-m AS (SELECT CAST(doc_id AS VARCHAR) AS start, CAST(doc_id AS VARCHAR) AS page, 1 AS position FROM documents WHERE doc_id % 4 = 0
-  UNION ALL SELECT m.start, CAST(l.next AS VARCHAR), m.position + 1 FROM m JOIN l ON m.page = CAST(l.page AS VARCHAR) WHERE l.next IS NOT NULL AND l.next <> CAST(m.start AS BIGINT) AND m.position < 7)
-SELECT start, page, position FROM m""")
+@query("""WITH RECURSIVE l AS (SELECT doc_id AS page, CASE WHEN doc_id % 128 < 120 THEN doc_id + 1 WHEN doc_id % 128 = 120 THEN doc_id - 60 END AS next FROM documents),
+m AS (SELECT doc_id AS start, doc_id AS page, CAST(1 AS BIGINT) AS position, [doc_id] AS seen FROM documents
+  UNION ALL SELECT m.start, l.next, m.position + 1, list_append(m.seen, l.next) FROM m JOIN l ON m.page = l.page WHERE l.next IS NOT NULL AND NOT list_contains(m.seen, l.next))
+SELECT CAST(start AS VARCHAR) AS start, CAST(page AS VARCHAR) AS page, position FROM m""")
 def pager_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chains of links over documents: seven pages, the last of which links back to the first."""
-    docs, k = table(spark, sf_dir, "documents"), F.col("doc_id") % 8
-    links = docs.select(F.col("doc_id").alias("page"), F.when(k < 6, F.col("doc_id") + 1).when(k == 6, F.col("doc_id") - 6).alias("next"))
-    return planner.walk(spark, links, docs.filter("doc_id % 4 = 0").select(F.col("doc_id").alias("page")), most=7)
+    """Chains of links over documents, from each of them: up to 121 pages, of which the last links back to one in the middle."""
+    docs, k = table(spark, sf_dir, "documents"), F.col("doc_id") % 128
+    links = docs.select(F.col("doc_id").alias("page"), F.when(k < 120, F.col("doc_id") + 1).when(k == 120, F.col("doc_id") - 60).alias("next"))
+    return planner.walk(links, docs.select(F.col("doc_id").alias("page")))
 
 
 # --- reconciliation
@@ -686,11 +678,12 @@ def flag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("flag").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'missing:' || CASE event_id % 2 WHEN 0 THEN 'identifier' ELSE 'doc_path' END AS reason, count(*) AS n FROM events WHERE event_id % 13 = 0 GROUP BY 1")
+@query("""SELECT 'missing:' || concat_ws(',', CASE WHEN event_id % 13 = 0 THEN 'identifier' END, CASE WHEN event_id % 7 = 0 THEN 'doc_path' END) AS reason, count(*) AS n FROM events WHERE event_id % 13 = 0 OR event_id % 7 = 0 GROUP BY 1""")
 def skip_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why rows of all events are skipped, every 13th of which has no identifier and every 7th no path."""
     k = F.col("event_id")
-    rows = table(spark, sf_dir, "events").filter("event_id % 13 = 0").select(reconcile.row_quality(F.when(k % 2 != 0, "x"), F.when(k % 2 == 0, "y"), F.to_date("ts"))["reason"].alias("reason"))
-    return rows.groupBy("reason").agg(F.count("*").alias("n"))
+    judged = table(spark, sf_dir, "events").select(reconcile.row_quality(F.when(k % 13 != 0, "x"), F.when(k % 7 != 0, "y"), F.to_date("ts"))["reason"].alias("reason"))
+    return judged.groupBy("reason").agg(F.count("*").alias("n")).filter("reason is not null")
 
 
 # --- checks
@@ -835,3 +828,151 @@ def partition_filtered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate")
     rows = table(spark, sf_dir, "orders").filter((day >= F.lit("1996-02-01").cast("timestamp_ntz")) & (day < F.lit("1996-04-01").cast("timestamp_ntz")))
     return rows.select("o_orderkey", F.col("o_orderpriority").alias("facet"), C.period_key(day, "month").alias("key"))
+
+
+# --- regions by selectors: pages put together from known parts, so that the SQL needs none of the library's patterns
+
+
+def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each of pages: nested elements in a content region told by its class, in some too deep or without a title or region."""
+    n = F.col("page_id").cast("string")
+    nested = F.concat(F.repeat(F.lit("<div>"), (F.col("page_id") % 60).cast("int")), F.lit("inner "), n, F.repeat(F.lit("</div>"), (F.col("page_id") % 60).cast("int")))
+    content = F.concat(F.lit("<p>The <b>decision</b></p><!-- "), n, F.lit(" --><script>x("), n, F.lit(")</script><div class='content'>"), nested, F.lit("</div> tail &amp; &eacute; <p>of  "), F.col("url"), F.lit("</p>"))
+    region = F.when(F.col("page_id") % 9 == 4, "section").otherwise("content")
+    title = F.when(F.col("page_id") % 5 == 3, "").otherwise(F.concat(F.lit("<h1 class='big page-title'>No. "), n, F.lit(" &lt;x&gt;</h1>")))
+    html = F.concat(F.lit("<html><body><nav class='x'>menu</nav><h1>other</h1>"), title, F.lit("<div class='wide "), region, F.lit("'>"), content, F.lit("</div><footer>end</footer></body></html>"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", html.alias("html"))
+
+
+_SHEETS = """WITH p AS (SELECT page_id, CASE WHEN page_id % 5 <> 3 THEN 'No. ' || page_id || ' <x>' END AS title, 'The decision inner ' || page_id || ' tail & é of ' || url AS text, 'inner ' || page_id AS inner_text, page_id % 9 <> 4 AS found FROM pages)"""
+
+
+@query(f"""{_SHEETS} SELECT page_id, CASE WHEN found THEN text ELSE inner_text END AS text FROM p""")
+def region_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first region of a class, nested ones whole; where the outer one has another class, the inner one is the first."""
+    return _sheets(spark, sf_dir).select("page_id", H.region_text_dom("div.content")("html").alias("text"))
+
+
+@query(f"""{_SHEETS} SELECT page_id, sha256(CASE WHEN title IS NOT NULL THEN title || chr(10) ELSE '' END || CASE WHEN found THEN text ELSE inner_text END) AS file_hash, 'content_text' AS basis FROM p""")
+def fingerprint_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = _sheets(spark, sf_dir).select("page_id", H.fingerprint(F.col("html"), F.lit("html"), "div.content", "h1.page-title").alias("f"))
+    return made.select("page_id", "f.file_hash", "f.basis")
+
+
+@query(f"""{_SHEETS}, o AS (SELECT page_id, title, found, CASE WHEN found THEN text ELSE 'menu other ' || coalesce(title || ' ', '') || text || ' end' END AS kept FROM p)
+SELECT page_id, title, CAST(length(kept) AS BIGINT) AS text_chars, CASE WHEN found THEN 'content' ELSE 'body' END AS extracted_with, CASE WHEN found THEN '' ELSE 'extraction_fallback' END AS quality_flags FROM o""")
+def extract_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title and content by class; a page without the region keeps its body and is told."""
+    made = _sheets(spark, sf_dir).select("page_id", H.extraction(F.col("html"), "div.wide.content", "h1.page-title", F.lit("en")).alias("e"))
+    return made.select("page_id", "e.title", "e.text_chars", "e.extracted_with", F.array_join("e.quality_flags", ",").alias("quality_flags"))
+
+
+@query(f"""{_SHEETS}, i AS (SELECT page_id, title, '<p>The <b>decision</b></p><div class="content">' || repeat('<div>', page_id % 60) || inner_text || repeat('</div>', page_id % 60) || '</div> tail &amp; é <p>of  ' || replace(url, '&', '&amp;') || '</p>' AS inside FROM p JOIN pages USING (page_id)),
+d AS (SELECT page_id, '<!doctype html>' || chr(10) || '<html lang="en">' || chr(10) || '<head>' || chr(10) || '<meta charset="utf-8">' || chr(10) || '<title>' || {_escaped("coalesce(title, '')")} || '</title>' || chr(10) || '</head>' || chr(10) || '<body>' || chr(10)
+  || CASE WHEN title IS NOT NULL THEN '<h1>' || {_escaped('title')} || '</h1>' || chr(10) ELSE '' END || '<div class="content">' || chr(10) || inside || chr(10) || '</div>' || chr(10) || '</body>' || chr(10) || '</html>' || chr(10) AS doc FROM i)
+SELECT page_id, sha256(doc) AS file_hash, CAST(strlen(doc) AS BIGINT) AS file_size FROM d""")
+def assembled_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title and content as a document of their own, without comments and scripts."""
+    made = _sheets(spark, sf_dir).select("page_id", H.extraction(F.col("html"), "div.wide", "h1.page-title", F.lit("en"))["html"].alias("body"))
+    return made.select("page_id", X.raw_hash(F.col("body")).alias("file_hash"), F.octet_length("body").cast("bigint").alias("file_size"))
+
+
+# --- a second source, and what a specification says
+
+ISO = spec.Spec(
+    "iso", "Iso", "XX", "en", "https://iso.example", "/decisions", 3, "%Y-%m-%d", "after", "before", "p", {}, "court", "issuing_authority",
+    (spec.FacetValue("hc", "High Court"), spec.FacetValue("sc", "Supreme Court", date(1997, 6, 1))), "follow_next",
+    spec.Contract({"record": "article.d", "identifier": "h3 a", "published_date": "time", "description": "p.summary", "court_no": "span.no", "next_page": "nav a[rel=next]"}, {}, "%Y-%m-%d", {"identifier": ("href",)}), "main", "h1",
+)
+
+
+@query(f"""WITH {_sql_windows('quarter')} SELECT key, 'https://iso.example/decisions?court=hc&after=' || strftime("start", '%Y-%m-%d') || '&before=' || strftime("end", '%Y-%m-%d') || '&p=1' AS url FROM w""")
+def listing_params_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.partitions(spark, FIRST, LAST, "quarter").select("key", planner.listing_url(ISO, F.lit("hc"), F.col("start"), F.col("end"), F.lit(1)).alias("url"))
+
+
+@query("""WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 2 THEN '2024-02-31' END AS s FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN CAST(s AS DATE) END AS published_date FROM t""")
+def published_date_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, day = F.col("o_orderkey") % 4, F.col("o_orderdate")
+    text = F.when(k == 0, F.date_format(day, "yyyy-MM-dd")).when(k == 1, F.date_format(day, "dd/MM/yyyy")).when(k == 2, "2024-02-31")
+    return table(spark, sf_dir, "orders").select("o_orderkey", X.parse_date(text, ISO.contract.date_format).alias("published_date"))
+
+
+def _decisions_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing page of the second source for each of pages: two records, of which one may lack its path or date, and a pager link on most."""
+    n = F.col("page_id").cast("string")
+    one = F.concat(F.lit("<article class='d'><h3><a href='/x/"), n, F.lit("'> D  "), n, F.lit(" </a></h3><time>2024-01-09</time><p class='summary'>about "), n, F.lit("</p><span class='no'> n"), n, F.lit(" </span></article>"))
+    two = F.concat(F.lit("<article class='d'><h3><a"), F.when(F.col("page_id") % 3 != 0, F.concat(F.lit(" href='y?"), n, F.lit("'"))).otherwise(""), F.lit(">E</a></h3><time>soon</time><p class='summary'></p><span class='no'> </span></article>"))
+    pager = F.when(F.col("page_id") % 4 != 0, F.concat(F.lit("<nav><a rel='prev' href='?p=0'>p</a><a rel='next' href='?p="), n, F.lit("'>n</a></nav>"))).otherwise("")
+    facet = F.when(F.col("page_id") % 2 == 0, "hc").otherwise("sc")
+    url = F.concat(F.lit("https://iso.example/l/"), n)
+    return table(spark, sf_dir, "pages").select("page_id", url.alias("url"), facet.alias("facet_id"), F.lit("2024-01").alias("partition_key"), F.lit(1).alias("page"), F.concat(one, two, pager).alias("html"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 4 <> 0 THEN '?p=' || page_id END AS link, CASE WHEN page_id % 4 <> 0 THEN 'https://iso.example/l/' || page_id || '?p=' || page_id END AS next_url, CAST(2 AS BIGINT) AS records FROM pages""")
+def pager_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.parsed(_decisions_pages(spark, sf_dir), ISO.contract)
+    return found.select("page_id", "link", U.resolve(F.col("url"), F.col("link")).alias("next_url"), F.size("records").cast("bigint").alias("records"))
+
+
+@query("""SELECT page_id, CAST(r AS INTEGER) AS row_pos, CASE r WHEN 0 THEN 'D ' || page_id ELSE 'E' END AS identifier, CASE r WHEN 0 THEN DATE '2024-01-09' END AS published_date,
+  CASE WHEN r = 0 THEN 'https://iso.example/x/' || page_id WHEN page_id % 3 <> 0 THEN 'https://iso.example/l/y?' || page_id END AS doc_url,
+  CASE r WHEN 0 THEN 'court_no=n' || page_id ELSE '' END AS extras, CASE WHEN r = 1 AND page_id % 3 = 0 THEN 'missing:doc_path' END AS reason FROM pages, (SELECT unnest([0, 1]) AS r)""")
+def listing_rows_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of listing pages by a contract with ISO dates; extras that are empty are left out."""
+    rows = pages.listing_rows(_decisions_pages(spark, sf_dir), ISO.contract)
+    extras = F.array_join(F.transform(F.map_entries("source_metadata"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return rows.select("page_id", "row_pos", "identifier", "published_date", "doc_url", extras.alias("extras"), "reason")
+
+
+@query("""SELECT 'D ' || page_id AS identifier, 'iso' AS source, CASE page_id % 2 WHEN 0 THEN 'High Court' ELSE 'Supreme Court' END AS issuing_authority, 'https://iso.example/x/' || page_id AS doc_url,
+  CASE WHEN page_id % 10 = 7 THEN 'download_failed' ELSE 'downloaded' END AS outcome, CASE WHEN page_id % 10 <> 7 THEN 'D-' || page_id END AS identifier_slug, CASE WHEN page_id % 10 <> 7 THEN CASE page_id % 10 WHEN 1 THEN 'pdf' ELSE 'html' END END AS extension,
+  CASE WHEN page_id % 10 = 7 THEN NULL WHEN page_id % 10 = 1 THEN sha256('%PDF' || page_id) ELSE sha256('body ' || page_id) END AS file_hash, CASE WHEN page_id % 10 = 7 THEN NULL WHEN page_id % 10 = 1 THEN 'raw_bytes' ELSE 'content_text' END AS file_hash_basis,
+  CASE WHEN page_id % 10 <> 7 THEN 'iso/' || CASE page_id % 2 WHEN 0 THEN 'hc' ELSE 'sc' END || '/2024-01/D-' || page_id || '/' || CASE WHEN page_id % 10 = 1 THEN sha256('%PDF' || page_id) ELSE sha256('body ' || page_id) END || '.' || CASE page_id % 10 WHEN 1 THEN 'pdf' ELSE 'html' END END AS object_key
+FROM pages""")
+def landing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows as landing records, with the documents fetched for them and without those that could not be."""
+    rows = pages.listing_rows(_decisions_pages(spark, sf_dir), ISO.contract).filter("row_pos = 0").join(F.broadcast(ISO.facet_table(spark)), "facet_id")
+    listed = records.from_listing(rows.withColumn("partition_date", F.lit(date(2024, 1, 1))).withColumn("reused", F.lit(False)), ISO, F.lit("2024-02-01").cast("timestamp"))
+    n = F.regexp_extract("doc_url", r"\d+$", 0)
+    k = n.cast("bigint") % 10
+    body = F.when(k == 1, F.concat(F.lit("%PDF"), n)).otherwise(F.concat(F.lit("<main><div>body <i>"), n, F.lit("</i></div></main>")))
+    bodies = listed.filter(k != 7).select("doc_url", F.encode(body, "UTF-8").alias("body"), F.when(k == 1, "application/pdf").otherwise("text/html").alias("header"))
+    made = records.enriched(pages.documents(listed, bodies), ISO.content, ISO.title)
+    return made.select("identifier", "source", "issuing_authority", "doc_url", "outcome", "identifier_slug", "extension", "file_hash", "file_hash_basis", "object_key")
+
+
+@query("SELECT * FROM (VALUES ('hc', 'High Court', NULL), ('sc', 'Supreme Court', DATE '1997-06-01')) AS t(facet_id, facet_name, active_from)")
+def selected_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facet dimension of a specification, by a list of ids as a run is given."""
+    return ISO.facet_table(spark, " sc , hc, other")
+
+
+@query("""SELECT * FROM (VALUES ('facet', 'facet.maps_to', 'is ''color'', which is none of issuing_authority'), ('blank', 'listing_contract.selectors', 'has nothing for record'), ('source', 'listing_contract.doc_path_sources', 'names nope, which no selector finds'),
+  ('paging', 'listing.pagination', 'is ''guess'', which is none of declared_total, follow_next'), ('counted', 'listing_contract.selectors', 'lacks result_count'), ('counted', 'listing_contract.patterns', 'lacks no_results, total'),
+  ('content', 'document_contract.content', 'is missing')) AS t(spec, place, what)""")
+def contract_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that is wrong with some broken specifications; a fault is a row of a few, told before a run."""
+    fields = {field: getattr(ISO, field) for field in spec.PLACES if hasattr(ISO, field)}
+    fields |= {"selectors": ISO.contract.selectors, "patterns": ISO.contract.patterns, "published": ISO.contract.date_format, "sources": ISO.contract.path_sources}
+    broken = {
+        "facet": {"facet_target": "color"}, "blank": {"selectors": {**ISO.contract.selectors, "record": " "}}, "source": {"sources": {**ISO.contract.path_sources, "nope": ("href",)}}, "paging": {"pagination": "guess"},
+        "counted": {"pagination": "declared_total"}, "content": {"content": ""}, "none": {},
+    }
+    found = [(name, *fault) for name, change in broken.items() for fault in spec.problems(fields | change)]
+    return spark.createDataFrame(found, "spec string, place string, what string")
+
+
+@query("""SELECT strftime(m, '%Y-%m') AS key, CAST(m AS DATE) AS first, CAST(last_day(m) AS DATE) AS last FROM (SELECT unnest(generate_series(DATE '1996-11-01', DATE '1998-02-01', INTERVAL 1 MONTH)) AS m)""")
+def asset_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly partitions that a job runs for, from one month to another."""
+    return spark.createDataFrame(run.months("1996-11", "1998-02"), "key string, first date, last date")
+
+
+@query("""SELECT CAST(year(o_orderdate) AS VARCHAR) || chr(9) || o_orderpriority || chr(9) || CAST(count(*) AS VARCHAR) AS line, row_number() OVER (ORDER BY year(o_orderdate), o_orderpriority) AS place FROM orders GROUP BY year(o_orderdate), o_orderpriority""")
+def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the coverage export in its order, a line a year and facet."""
+    counts = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("facet")).agg(F.count("*").alias("records"))
+    lines = checks.tsv_lines(counts, ["year", "facet"])
+    return lines.select("line", F.row_number().over(Window.orderBy("year", "facet")).alias("place"))

@@ -12,6 +12,7 @@ from quillmill.functions import html as H
 from quillmill.functions import text as X
 from quillmill.functions import urls
 from quillmill.plans.spec import Contract
+from quillmill.sources.retry import Patience
 
 ROWS = "record int, identifier_raw string, description string, published string, paths map<string,string>, extras map<string,string>"
 
@@ -61,13 +62,17 @@ def listing_rows(pages: DataFrame, contract: Contract) -> DataFrame:
 
     Rows without identifier or path stay, with the reason for which they are to be skipped.
     """
-    found = parsed(pages, contract).select(*(c for c in pages.columns if c != "html"), F.explode("records").alias("r"))
+    return record_rows(parsed(pages, contract), contract)
+
+
+def record_rows(pages: DataFrame, contract: Contract) -> DataFrame:
+    """listing_rows of pages that are parsed already."""
+    found = pages.select(*(c for c in pages.columns if c not in ("html", "count_text", "link", "records")), F.explode("records").alias("r"))
     sources = [F.col("r")["paths"][name] for name in contract.path_sources]
     path = X.first_present(*sources)
-    pattern = contract.date_format.replace("%d", "d").replace("%m", "M").replace("%Y", "yyyy").replace("%-", "")
     out = found.select(
         *(c for c in found.columns if c != "r"), F.col("r")["record"].alias("row_pos"), X.normalise(F.col("r")["identifier_raw"]).alias("identifier"), F.col("r")["identifier_raw"].alias("identifier_raw"),
-        X.normalise(F.col("r")["description"]).alias("description"), X.parse_date(F.col("r")["published"], pattern).alias("published_date"), path.alias("doc_path"), urls.resolve(F.col("url"), path).alias("doc_url"),
+        X.normalise(F.col("r")["description"]).alias("description"), X.parse_date(F.col("r")["published"], contract.date_format).alias("published_date"), path.alias("doc_path"), urls.resolve(F.col("url"), path).alias("doc_url"),
         X.conflicting(*sources).alias("path_conflict"), X.non_empty(F.transform_values(F.col("r")["extras"], lambda k, v: X.normalise(v))).alias("source_metadata"),
     )
     from quillmill.operators.reconcile import row_quality
@@ -88,13 +93,19 @@ def documents(rows: DataFrame, bodies: DataFrame) -> DataFrame:
     return rows.join(bodies, "doc_url", "left").withColumn("outcome", F.when(F.col("body").isNull(), "download_failed").otherwise("downloaded"))
 
 
-def fetched(batches: Iterator[pd.DataFrame], fetch) -> Iterator[pd.DataFrame]:
-    """For mapInPandas: each row's URL fetched by `fetch(url) -> (body, header)`; an error becomes a column, so that it costs one row."""
+def fetched(batches: Iterator[pd.DataFrame], fetch, patience: Patience = Patience()) -> Iterator[pd.DataFrame]:  # noqa: B008  it cannot change
+    """For mapInPandas: each row's URL fetched by `fetch(url) -> (body, header)`; an error that stays becomes a column, so that it costs one row."""
     for batch in batches:
         found = []
         for url in batch["doc_url"]:
             try:
-                found.append((*fetch(url), None))
+                found.append((*patience.ask(lambda url=url: fetch(url)), None))
             except Exception as e:  # noqa: BLE001  any failure of one document is reported with it
                 found.append((None, None, type(e).__name__))
         yield batch.assign(body=[f[0] for f in found], header=[f[1] for f in found], error=[f[2] for f in found])
+
+
+def live(rows: DataFrame, fetch, patience: Patience = Patience()) -> DataFrame:  # noqa: B008
+    """The documents (doc_url, body, header, error) of listing rows, each URL fetched once."""
+    urls = rows.select("doc_url").filter("doc_url is not null").distinct()
+    return urls.mapInPandas(lambda batches: fetched(batches, fetch, patience), "doc_url string, body binary, header string, error string")

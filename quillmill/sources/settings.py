@@ -6,6 +6,8 @@ import os
 from dataclasses import dataclass, fields
 from functools import lru_cache
 
+from quillmill.sources.retry import Patience
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -17,6 +19,11 @@ class Settings:
     partition_size: str = "month"
     max_recovery_pages: int = 5
     request_delay: float = 0.5
+    retry_times: int = 3
+    retry_backoff: float = 1.5
+
+    def patience(self) -> Patience:
+        return Patience(self.request_delay, self.retry_times, self.retry_backoff)
 
 
 def read(environment: dict[str, str], prefix: str = "QUILLMILL_") -> Settings:

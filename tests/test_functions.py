@@ -177,3 +177,53 @@ def test_reversed_ranges_and_unknown_sizes_are_errors(spark):
         C.partitions(spark, date(2024, 2, 1), date(2024, 1, 1), "month")
     with pytest.raises(ValueError):
         C.period_start(F.col("x"), "decade")
+
+
+def sheet(content, title="DWT241", chrome="<nav>menu</nav>", comment=""):
+    return f"<html>{comment}<head><script>t()</script><style>x{{}}</style></head><body>{chrome}<div class='wide col'><h1 class='page-title'>{title}</h1><div class='content main'>{content}</div><script>v</script></div><footer>f</footer></body></html>"
+
+
+def test_regions_by_class_selectors(spark):
+    prints = lambda pages, title="h1.page-title": [tuple(p) for p in values(spark, H.fingerprint(F.col("x"), F.lit("html"), "div.content", title), pages)]
+    same = prints([sheet("<p>Award of 500 euro</p>"), sheet("<p>Award of <b>500</b> euro</p>", chrome="<p class='content'>no</p>"), sheet("<p>Award   of\n 500 euro</p><script>x('1')</script>", comment="<!-- Elapsed time: 1 -->")])
+    assert len(set(same)) == 1 and same[0][1] == "content_text"
+    assert len({p[0] for p in prints([sheet("<p>x</p>"), sheet("<p>y</p>"), sheet("<p>x</p>", title="Other")])}) == 3
+    assert len({p[0] for p in prints([sheet("<p>x</p>"), sheet("<p>x</p>", title="Other")], None)}) == 1
+    # Nested elements are whole, and a change after them is one.
+    nested = prints([sheet("<div>inner one</div> tail text"), sheet("<div>inner one</div> tail changed"), sheet("<div>inner one</div> tail text".replace("div", "section"))])
+    assert nested[0] == nested[2] != nested[1]
+    texts = values(spark, H.region_text_dom("div.content")("x"), [sheet("<div><div>a</div> b</div> <p>c  d</p>"), sheet("e &amp; f&nbsp;g &eacute;"), "<p>none</p>"])
+    assert texts == ["a b c d", "e & f g é", None]
+    lost = prints(["<html><!-- t=1 --><body><p>no</p></body></html>", "<html><body><p>no</p></body></html>"])
+    assert lost[0] == lost[1] and lost[0][1] == "document_minus_comments"
+
+
+def test_extraction_by_class_selectors(spark):
+    made = lambda pages, lang="en": values(spark, H.extraction(F.col("x"), "div.content", "h1.page-title", F.lit(lang)), pages)
+    one, table, void = made([sheet("<p>The <b>decision</b>.</p><div>more</div><script>z</script><!-- c -->"), sheet("<table><tr><td>Award</td><td a='1&quot;2'>500</td></tr></table>"), sheet("a<br>b<img src=x>")])
+    text = bytes(one.html).decode()
+    assert one.title == "DWT241" and one.extracted_with == "content" and one.quality_flags == [] and one.text_chars == len("The decision . more")
+    assert "<h1>DWT241</h1>" in text and "<p>The <b>decision</b>.</p><div>more</div>" in text and text.startswith("<!doctype html>") and '<html lang="en">' in text
+    assert not any(gone in text for gone in ("menu", "t()", "<script", "<!--", "<footer>", "<style>"))
+    assert '<td a="1&quot;2">500</td>' in bytes(table.html).decode() and 'a<br>b<img src="x">' in bytes(void.html).decode()
+    lost, empty, marked = made(["<html><body><nav>m</nav><p>redesigned</p></body></html>", sheet("   "), sheet("<p>x</p>", title="A &amp; B &lt;C&gt;")], "ga")
+    assert lost.extracted_with == "body" and lost.quality_flags == ["extraction_fallback"] and lost.title is None and b"redesigned" in bytes(lost.html)
+    assert empty.quality_flags == ["extraction_failed"] and empty.text_chars == 0
+    assert marked.title == "A & B <C>" and b"<title>A &amp; B &lt;C&gt;</title>" in bytes(marked.html) and b'<html lang="ga">' in bytes(marked.html)
+
+
+def test_deep_and_broken_pages_are_no_failure(spark):
+    deep = "<div>" * 5000 + "<div class='content'>x<b>y</b></div>" + "</div>" * 5000
+    pages = [sheet(deep), deep, "<div class='content'>" + "<i>" * 3000 + "z", "<![x <div class='content'>q</div>", None, ""]
+    assert values(spark, H.region_text_dom("div.content > b, div.content")("x"), pages)[1:3] == ["x y", "z"]
+    made = values(spark, H.extraction(F.col("x"), "div.content", "h1", F.lit("en")), pages)
+    assert [m.text_chars for m in made[:3]] == [3, 3, 1] and made[4].quality_flags == made[5].quality_flags == ["extraction_fallback", "extraction_failed"]
+
+
+def test_dates_by_a_sources_format(spark):
+    cases = ["2024-01-31", "2024-1-5", "31/01/2024", "2024-02-31", "", None]
+    assert values(spark, X.parse_date(F.col("x"), "%Y-%m-%d"), cases) == [date(2024, 1, 31), date(2024, 1, 5), None, None, None, None]
+    assert values(spark, X.parse_date(F.col("x"), "%d %B %Y"), ["5 March 2024", "05 March 2024", "5/3/2024"]) == [date(2024, 3, 5)] * 2 + [None]
+    assert values(spark, X.format_date(F.to_date("x"), "%-d.%-m.%Y at %Y%m%d"), ["2024-03-05"]) == ["5.3.2024 at 20240305"]
+    with pytest.raises(ValueError):
+        X.format_date(F.col("x"), "%q")

@@ -111,3 +111,59 @@ def test_a_lost_object_is_a_failure_of_its_row(spark, loaded, zones):  # noqa: F
 def test_widened_dates(spark):
     row = records.widened(spark.createDataFrame([(date(2024, 1, 2), 1)], "d date, n int")).first()
     assert (row.d.year, row.d.hour) == (2024, 0) and records.widened(spark.range(1)).dtypes == [("id", "bigint")]
+
+
+def test_ingest_fetches_what_it_lists(spark, loaded, zones):  # noqa: F811
+    known = {u: (b.encode(), h) for u, b, h in BODIES[1:]}
+
+    def fetch(url):
+        if url not in known:
+            raise ValueError(url)
+        return known[url]
+
+    found = {r.facet_id: r for r in jobs.ingest(spark, loaded, listing(spark, PAGES), fetch, zones).collect()}
+    assert (found["1"].documents_downloaded, found["1"].downloads_failed, found["1"].complete) == (2, 1, False) and found["2"].complete
+    assert {r.identifier for r in landed(spark, zones).collect()} == {"B", "C", "A2"}
+
+
+def files(spark, path):
+    return {f for f in spark.read.parquet(path).inputFiles()}
+
+
+def test_derive_writes_what_changed_alone(spark, loaded, zones):  # noqa: F811
+    jobs.ingest(spark, loaded, listing(spark, PAGES), bodies(spark, BODIES), zones)
+    derive(spark, loaded, zones)
+    before = files(spark, zones.transformed), files(spark, zones.transformed_objects)
+    assert derive(spark, loaded, zones).unchanged == 4 and (files(spark, zones.transformed), files(spark, zones.transformed_objects)) == before
+    changed = [(u, b.replace("third", "revised"), h) for u, b, h in BODIES]
+    jobs.ingest(spark, loaded, listing(spark, PAGES), bodies(spark, changed), zones)
+    assert derive(spark, loaded, zones).transformed == 1
+    for was, now in zip(before, (files(spark, zones.transformed), files(spark, zones.transformed_objects)), strict=True):
+        assert {f for f in was if "2024-01" in f} == {f for f in now if "2024-01" in f} and {f for f in was if "2024-02" in f}.isdisjoint(now)
+    assert spark.read.parquet(zones.transformed).count() == 4 == spark.read.parquet(zones.transformed_objects).count()
+
+
+def test_a_run_that_ends_between_its_writes_loses_nothing(spark, loaded, zones, monkeypatch):  # noqa: F811
+    jobs.ingest(spark, loaded, listing(spark, PAGES), bodies(spark, BODIES), zones)
+    derive(spark, loaded, zones)
+    more = [("https://x.org/s/?5", "1", "2024-01", 1, page(1, [("/d/a9.html", "A - 1", "9/1/2024")]))]
+    jobs.ingest(spark, loaded, listing(spark, more), bodies(spark, [("https://x.org/d/a9.html", html("A9", "ninth"), "text/html")]), zones)
+    replaced = jobs._replaced
+    for ends_after in (1, 2):
+        left = [ends_after]
+
+        def some(*args, left=left):
+            if not left[0]:
+                raise KeyboardInterrupt
+            left[0] -= 1
+            replaced(*args)
+
+        monkeypatch.setattr(jobs, "_replaced", some)
+        with pytest.raises(KeyboardInterrupt):
+            derive(spark, loaded, zones)
+        monkeypatch.setattr(jobs, "_replaced", replaced)
+        named = {r.file_path for r in spark.read.parquet(zones.transformed).collect()}
+        assert named <= {r.file_path for r in spark.read.parquet(zones.transformed_objects).collect()} and len(named) >= 4
+        if ends_after == 1:
+            assert derive(spark, loaded, zones).complete and spark.read.parquet(zones.transformed).count() == 5
+            jobs.ingest(spark, loaded, listing(spark, PAGES), bodies(spark, [(u, b.replace("second", "again"), h) for u, b, h in BODIES]), zones)

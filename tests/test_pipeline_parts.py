@@ -53,8 +53,8 @@ def test_spec(loaded, spark):
 
 @pytest.mark.parametrize(("change", "said"), [
     (lambda r: r["facet"].update(maps_to="color"), "maps_to"), (lambda r: r["listing"].update(pagination="guess"), "pagination"), (lambda r: r.update(document_contract={"content": " "}), "content"),
-    (lambda r: r["listing_contract"]["selectors"].pop("record"), "missing selectors"), (lambda r: r["listing_contract"]["selectors"].update(record=" "), "empty selectors"),
-    (lambda r: r["listing_contract"]["patterns"].pop("total"), "missing patterns"), (lambda r: r["listing_contract"].update(doc_path_sources=[]), "at least one"), (lambda r: r["listing_contract"].update(doc_path_sources=["nope"]), "undeclared"),
+    (lambda r: r["listing_contract"]["selectors"].pop("record"), "selectors lacks record"), (lambda r: r["listing_contract"]["selectors"].update(record=" "), "selectors has nothing for record"),
+    (lambda r: r["listing_contract"]["patterns"].pop("total"), "patterns lacks total"), (lambda r: r["listing_contract"].update(doc_path_sources=[]), "doc_path_sources is missing"), (lambda r: r["listing_contract"].update(doc_path_sources=["nope"]), "no selector finds"),
 ])
 def test_broken_specs_fail_at_load(tmp_path, change, said):
     with pytest.raises(ValueError, match=said):
@@ -280,3 +280,56 @@ def test_windowed_counts(spark):
 
 def test_schemas():
     assert "content" not in schemas.persisted() and len(schemas.DOCUMENT.fields) == 27 and schemas.TRANSFORMED["title"].nullable
+
+
+FOLLOWING = {
+    **SOURCE, "name": "iso",
+    "listing": {"path": "/d", "page_size": 3, "pagination": "follow_next", "date_format": "%Y-%m-%d", "params": {"date_from": "after", "date_to": "before", "page": "p", "static": {}}},
+    "listing_contract": {"selectors": {"record": "article", "identifier": "h3 a", "published_date": "time", "description": "p", "next_page": "nav a[rel=next]"}, "published_date_format": "%Y-%m-%d", "doc_path_sources": ["identifier"]},
+}
+
+
+def test_a_source_that_follows_links_plans_parses_and_pages_to_the_end(spark, tmp_path):
+    path = tmp_path / "iso.yml"
+    path.write_text(yaml.safe_dump(FOLLOWING, sort_keys=False))
+    iso = spec.load(path)
+    row = spark.createDataFrame([(date(2024, 1, 5), date(2024, 1, 31))], "start date, end date")
+    assert row.select(planner.listing_url(iso, F.lit("1"), F.col("start"), F.col("end"), F.lit(1))).first()[0] == "https://x.org/d?body=1&after=2024-01-05&before=2024-01-31&p=1"
+    html = "<article><h3><a href='/x'>X 1</a></h3><time>2024-01-09</time><p>one</p></article><article><h3><a href='/y'>Y</a></h3><time>9/1/2024</time><p></p></article><nav><a rel='next' href='?p=2'>n</a></nav>"
+    found = pages.listing_rows(spark.createDataFrame([("https://x.org/d", "1", "2024-01", 1, html)], schemas.PAGES), iso.contract).orderBy("row_pos").collect()
+    assert [r.published_date for r in found] == [date(2024, 1, 9), None] and found[0].doc_url == "https://x.org/x"
+    chain = spark.createDataFrame([(k, k + 1) for k in range(150)] + [(500, 501), (501, 502), (502, 501), (600, 600), (700, None)], "page int, next int")
+    met = planner.walk(chain, spark.createDataFrame([(k,) for k in (0, 148, 500, 502, 600, 700)], "page int")).collect()
+    by_start = {k: [r.page for r in sorted(met, key=lambda r: r.position) if r.start == str(k)] for k in (0, 148, 500, 502, 600, 700)}
+    assert by_start == {0: [str(k) for k in range(151)], 148: ["148", "149", "150"], 500: ["500", "501", "502"], 502: ["502", "501"], 600: ["600"], 700: ["700"]}
+    assert sorted(r.position for r in met if r.start == "0") == list(range(1, 152))
+
+
+def test_requests_are_made_again_where_the_fault_may_pass():
+    from quillmill.sources.retry import Patience
+
+    class Answer(Exception):
+        def __init__(self, status):
+            self.status = status
+
+    def failing(*faults):
+        left = list(faults)
+
+        def request():
+            if left:
+                raise left.pop(0)
+            return "page"
+
+        return request
+
+    waits = []
+    ask = lambda request, **kw: Patience(**({"delay": 0.5} | kw)).ask(request, waits.append)
+    assert ask(failing(TimeoutError(), Answer(503), ConnectionError())) == "page" and waits == [0.5, 1.5, 0.5, 3.0, 0.5, 6.0, 0.5]
+    for fault in (Answer(404), ValueError(), FileNotFoundError()):
+        waits.clear()
+        with pytest.raises(type(fault)):
+            ask(failing(fault))
+        assert waits == [0.5]
+    with pytest.raises(Answer):
+        ask(failing(*[Answer(429)] * 4))
+    assert ask(failing(*[Answer(429)] * 3)) == "page"
