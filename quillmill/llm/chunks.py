@@ -89,7 +89,7 @@ def _least(h: np.ndarray, within: np.ndarray, at: np.ndarray, edges: np.ndarray)
     return found[found - row >= WINDOW]
 
 
-CHUNKS = "doc_id bigint, row int, start int, size int, word int, words int, high bigint, low bigint"
+CHUNKS = "doc_id bigint, row int, start int, size int, word int, high bigint, low bigint"
 
 
 def chunks(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -117,9 +117,9 @@ def chunks(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
             whole = np.array([xxhash.xxh32_intdigest(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], dtype=np.uint32).view(np.int32)
             columns = [
                 part.column(0).take(pa.array(rows)), whole[rows], (points[starts] - points[at[rows]]).astype(np.int32), (points[ends] - points[starts]).astype(np.int32),
-                (words[starts] - words[at[rows]]).astype(np.int32), (words[ends] - words[starts]).astype(np.int32), digests[:, 0], digests[:, 1],
+                (words[starts] - words[at[rows]]).astype(np.int32), digests[:, 0], digests[:, 1],
             ]
-            yield pa.record_batch([pa.array(c) for c in columns], names=["doc_id", "row", "start", "size", "word", "words", "high", "low"])
+            yield pa.record_batch([pa.array(c) for c in columns], names=["doc_id", "row", "start", "size", "word", "high", "low"])
 
     return in_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null and text is not null").mapInArrow(run, CHUNKS)
 
@@ -128,7 +128,8 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """Repeated passages: doc_id, start, end, n_words, copy, first_doc_id, first_start; documents without any have no row.
 
     start and end are code points. A passage stands in first_doc_id, the smallest id that has its chunks, from first_start
-    on, letter by letter; copy says that this is another document. Passages with different holders may overlap. Null,
+    on, letter by letter; copy says that this is another document. n_words counts to the least length of the last chunk,
+    which may hold a few words more. Passages with different holders may overlap. Null,
     empty and short texts have no passages; rows without id are left out; repeated rows of one id are one document.
     Other columns are ignored, whatever their names; an empty table gives no rows.
     """
@@ -144,19 +145,21 @@ def _parts(docs: DataFrame, least_words: int) -> DataFrame:
     # An id and a place as one number, so that the first of them is a plain minimum.
     place = F.col("doc_id").cast("decimal(20,0)") * F.lit(_PLACE).cast("decimal(11,0)") + F.col("start").cast("decimal(11,0)")
     # A table of its own, so that the join below stands between two exchanges, where Spark splits a hot digest.
-    held = found.groupBy(*key).agg(F.min(place).alias("first"), F.min("doc_id").alias("holder"), F.max("doc_id").alias("other")).filter("holder < other")
-    held = written(held.select(*key, "holder", (F.col("first") - F.col("holder").cast("decimal(20,0)") * F.lit(_PLACE).cast("decimal(11,0)")).cast("bigint").alias("origin")), "holders")
+    held = found.groupBy(*key).agg(F.min(place).alias("first"), F.max("doc_id").alias("other"))
+    origin = F.pmod("first", F.lit(_PLACE).cast("decimal(11,0)"))
+    held = held.select(*key, ((F.col("first") - origin) / F.lit(_PLACE).cast("decimal(11,0)")).cast("bigint").alias("holder"), origin.cast("bigint").alias("origin"), "other")
+    held = written(held.filter("holder < other").drop("other"), "holders")
     # Few long numbers a chunk cross the exchange.
     pair = lambda a, b: F.shiftleft(F.col(a).cast("bigint"), 32).bitwiseOR(F.col(b).cast("bigint").bitwiseAND(F.lit(_PLACE - 1)))
     one, two = (lambda c: F.shiftright(c, 32)), (lambda c: F.col(c).bitwiseAND(F.lit(_PLACE - 1)))
-    met = found.select("doc_id", *key, pair("row", "start").alias("at"), pair("word", "size").alias("more"), "words").join(held, key)
-    met = met.select("doc_id", one("at").alias("row"), two("at").alias("start"), (two("at") + two("more")).alias("end"), one("more").alias("word"), (one("more") + F.col("words")).alias("last_word"), "holder", "origin")
+    met = found.select("doc_id", *key, pair("row", "start").alias("at"), pair("word", "size").alias("more")).join(held, key)
+    met = met.select("doc_id", one("at").alias("row"), two("at").alias("start"), (two("at") + two("more")).alias("end"), one("more").alias("word"), "holder", "origin")
     # All that follows is within one text.
     met = met.dropDuplicates(["doc_id", "row", "start"]).withColumn("apart", F.col("start") - F.col("origin"))
     text = Window.partitionBy("doc_id", "row").orderBy("start")
     turns = F.coalesce((F.lag("end").over(text) < F.col("start")) | (F.lag("holder").over(text) != F.col("holder")) | (F.lag("apart").over(text) != F.col("apart")), F.lit(True))
     met = met.withColumn("turns", turns).withColumn("part", F.sum(F.col("turns").cast("int")).over(text))
-    parts = met.groupBy("doc_id", "row", "part", "holder").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("last_word") - F.min("word")).alias("n_words"), F.min("origin").alias("first_start"))
+    parts = met.groupBy("doc_id", "row", "part", "holder").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("word") - F.min("word") + least_words).alias("n_words"), F.min("origin").alias("first_start"))
     return parts.select("doc_id", "row", "start", "end", "n_words", (F.col("holder") != F.col("doc_id")).alias("copy"), F.col("holder").alias("first_doc_id"), "first_start")
 
 
