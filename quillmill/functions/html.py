@@ -38,12 +38,6 @@ def marker(html: Column, pattern: str = MARKER) -> Column:
     return F.when(F.rlike(html, F.lit(pattern)), F.regexp_extract(html, pattern, 1))
 
 
-def inner(html: Column, tag: str) -> Column:
-    """What the first element of the tag encloses; null without one. Right for tags that do not nest."""
-    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
-    return F.when(F.rlike(html, F.lit(pattern)), F.regexp_extract(html, pattern, 1))
-
-
 def decoded(text: Column) -> Column:
     """The four entities of markup as characters."""
     for entity, plain in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
