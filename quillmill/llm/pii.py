@@ -16,8 +16,9 @@ from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, compress
 from math import exp, log
+from operator import eq, itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -116,10 +117,7 @@ def _shape(word: str) -> str:
 
 
 def _class(low: str) -> str:
-    for name, words in (("given", _SETS[0]), ("family", _SETS[1]), ("street", _SETS[2]), ("title", _SETS[3]), ("month", _SETS[5]), ("plain", _SETS[6]), ("place", _SETS[7])):
-        if low in words:
-            return name
-    return low if low in _SETS[4] else ""
+    return _KINDS_OF.get(low, "")
 
 
 def _beside(kind: str, shape: str) -> str:
@@ -127,7 +125,8 @@ def _beside(kind: str, shape: str) -> str:
     return kind or ("~A" if shape in ("A", "Aa") else "~d" if shape[0] == "d" and shape[1:] else "")
 
 
-_SETS = tuple(frozenset(x) for x in (GIVEN, FAMILY, STREET, TITLES, CUES, MONTHS, PLAIN, PLACES))
+#: The class of each listed word, of several lists the last one's here; a cue word is its own.
+_KINDS_OF = {word: name or word for name, words in (("", CUES), ("place", PLACES), ("plain", PLAIN), ("month", MONTHS), ("title", TITLES), ("street", STREET), ("family", FAMILY), ("given", GIVEN)) for word in words}
 
 
 #: The class of a word that says the word before it again.
@@ -319,6 +318,11 @@ def _decode(words: list[str], weights: Weights) -> list[tuple[int, int, int]]:
     return out[::-1]
 
 
+#: What features take from words: those before and after a text, and a word of small letters in no list.
+_BEFORE, _AFTER = (False, False, "", None, 0, "^"), (False, False, "", None, 0, "$")
+_COMMON = (False, True, "a", "", 0, "")
+
+
 class Decoder:
     """Chooses the segments of whole texts as _decode does, by scores kept for surroundings met before."""
 
@@ -333,28 +337,37 @@ class Decoder:
         self.places: dict[tuple, list[tuple[int, int, float]]] = {}
 
     def code(self, word: str, again: bool) -> tuple:
-        """All that features take from a word, after whether an entity can start with it; again: it is the word before it, too."""
+        """All that features take from a word, after whether an entity can start or end with it; again: it is the word before it, too."""
         kept = self.again if again else self.codes
-        code = (word[0].isupper() or word[0].isdigit(), word[0].isalnum(), _shape(word), SAME if again else _class(word.lower()), min(len(word), 24) if word.isdigit() else 0)
+        kind = SAME if again else _class(word.lower())
+        if not kind and word.islower() and word.isalpha():
+            code = _COMMON
+        else:
+            shape = _shape(word)
+            code = (word[0].isupper() or word[0].isdigit(), word[0].isalnum(), shape, kind, min(len(word), 24) if word.isdigit() else 0, _beside(kind, shape))
         if len(kept) >= KEPT_WORDS:
-            self.codes.clear()
-            self.again.clear()
+            kept.clear()
+        if len(self.shared) >= KEPT_WORDS:
             self.shared.clear()
             self.places.clear()
         code = kept[word] = self.shared.setdefault(code, code)
         return code
 
-    def segments(self, window: tuple) -> list[tuple[int, int, float]]:
-        """(words, type, score) of the segments from the window's third word on that score above 0; None stands for no word."""
-        vectors, first = self.vectors, window[2]
+    def segments(self, place: tuple) -> list[tuple[int, int, float]]:
+        """(words, type, score) of the segments from a place on that score above 0.
+
+        A place is the class of the word but one before it, what is seen of the word before, the words from it on that a
+        segment can have, and what is seen of the word after these.
+        """
+        vectors = self.vectors
         base = [0.0] * len(TYPES)
-        for feature in (f"l{_beside(window[1][3], window[1][2]) if window[1] else '^'}", f"f{first[2]}", *([f"k{window[0][3]}"] if window[0] else [])):
+        for feature in (f"l{place[1]}", f"f{place[2][2]}", *([f"k{place[0]}"] if place[0] is not None else [])):
             if v := vectors.get(feature):
                 base = [x + y for x, y in zip(base, v, strict=True)]
         out, shapes, classes, digits, met = [], "s", "c", 0, set()
         for size in range(1, MOST_WORDS + 1):
-            word = window[1 + size]
-            if not word:
+            word = place[1 + size]
+            if word is _AFTER:
                 break
             shapes, classes = (shapes + word[2], classes + word[3]) if size == 1 else (f"{shapes} {word[2]}", f"{classes} {word[3]}")
             digits += word[4]
@@ -363,8 +376,8 @@ class Decoder:
                 if v := vectors.get(f"h{word[3]}"):
                     base = [x + y for x, y in zip(base, v, strict=True)]
             if word[1]:
-                after, own = window[2 + size], base
-                for feature in (f"n{size}", shapes, classes, f"d{min(digits, 24)}", f"r{_beside(after[3], after[2]) if after else '$'}", f"e{word[2]}"):
+                after, own = place[-1] if size == MOST_WORDS else place[2 + size][5], base
+                for feature in (f"n{size}", shapes, classes, f"d{min(digits, 24)}", f"r{after}", f"e{word[2]}"):
                     if v := vectors.get(feature):
                         own = [x + y for x, y in zip(own, v, strict=True)]
                 best = max(own)
@@ -372,29 +385,33 @@ class Decoder:
                     out.append((size, own.index(best), best))
         if len(self.places) >= KEPT_PLACES:
             self.places.clear()
-        self.places[window] = out
+        self.places[place] = out
         return out
 
     def decode(self, words: list[str]) -> list[tuple[int, int, int]]:
         """The best segmentation: entities (first word, end, type), none overlapping."""
         known, again, places = self.codes, self.again, self.places
-        own = [(known.get(w) or self.code(w, False)) if w != before else (again.get(w) or self.code(w, True)) for w, before in zip(words, [None, *words], strict=False)]
-        codes = [None, None, *own, *[None] * (MOST_WORDS + 1)]
+        own = list(map(known.get, words))
+        if not all(own):
+            own = [code or known.get(w) or self.code(w, False) for w, code in zip(words, own, strict=True)]
+        for i in compress(range(1, len(words)), map(eq, words[1:], words)):
+            own[i] = again.get(words[i]) or self.code(words[i], True)
+        starts = compress(range(len(words)), map(itemgetter(0), own))
+        codes = [_BEFORE, _BEFORE, *own, *[_AFTER] * (MOST_WORDS + 1)]
         out: list[tuple[int, int, int]] = []
         held: list[tuple[int, int, int, float]] = []  # segments that overlap, one after another
         end = 0
-        for i, code in enumerate(codes):
-            if code and code[0]:
-                window = tuple(codes[i - 2 : i + MOST_WORDS + 1])
-                found = places.get(window)
-                if found is None:
-                    found = self.segments(window)
-                for size, t, score in found:
-                    if held and i - 2 >= end:
-                        out += _chosen(held)
-                        held = []
-                    held.append((i - 2, i - 2 + size, t, score))
-                    end = max(end, i - 2 + size)
+        for i in starts:
+            place = (codes[i][3], codes[i + 1][5], *codes[i + 2 : i + 2 + MOST_WORDS], codes[i + 2 + MOST_WORDS][5])
+            found = places.get(place)
+            if found is None:
+                found = self.segments(place)
+            for size, t, score in found:
+                if held and i >= end:
+                    out += _chosen(held)
+                    held = []
+                held.append((i, i + size, t, score))
+                end = max(end, i + size)
         return out + _chosen(held)
 
 
