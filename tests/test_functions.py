@@ -128,6 +128,17 @@ def test_dom_selectors():
         H.select(page, "p:first-child")
 
 
+def test_references_count_with_their_semicolon(spark):
+    texts = {"a &amp; b": "a & b", "cut &amp": "cut &amp", "&lt&amp;lt; &copy": "&lt&lt; &copy", "&#38;&#x26; &#38 &#x26": "&& &#38 &#x26", "&eacute;&ampx; &none; & &;": "é&ampx; &none; & &;", "a & b < c &": "a & b < c &"}
+    for text, expected in texts.items():
+        assert H.text_of(f"<h1>{text}</h1>", "h1") == expected
+    # Only what a script holds stays as it is, and the text after it is read again.
+    assert list(H.parse("<script>a &amp; b</script>c &amp; d").texts(())) == ["a &amp; b", "c & d"]
+    assert H.text_of("<p>open &amp", "p") == "open &amp"
+    table = spark.createDataFrame([(f"<article>{t}</article>",) for t in ("x &amp;&amp", "&quot &quot;", "&lt;&gt")], "html string").select(H.region_text(F.col("html"), "article").alias("a"), H.region_text_dom("article")("html").alias("b"))
+    assert [(r.a, r.b) for r in table.collect()] == [(x, x) for x in ("x &&amp", '&quot "', "<&gt")]
+
+
 def test_dom_equals_native_regions(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(H.region_text(F.col("html"), "article").alias("a"), H.region_text_dom("article")("html").alias("b"))
     assert pages.filter("a = b").count() == pages.count()

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import importlib.util
+from pathlib import Path
 
 import pytest
 
@@ -16,6 +17,24 @@ def test_query_equals_its_sql(spark, name):
     check(QUERIES[name](spark, SF), ORACLE_SQL[name], SF)
 
 
+@pytest.fixture(scope="module")
+def odd_pages(spark, tmp_path_factory):
+    """The tables of SF, with pages whose titles and texts end inside a character reference."""
+    folder = tmp_path_factory.mktemp("odd")
+    for path in Path(SF).glob("*.parquet"):
+        (folder / path.name).symlink_to(path)
+    (folder / "pages.parquet").unlink()
+    ends = ["a &amp; b", "cut &amp", "cut &am", "&lt&gt;", "&quot", "&copy; &middot; &copy", "&amp;lt; &amp;amp", "a & b &", "&amp x &amp"]
+    rows = [(k, f"https://x.org/{k}", f"<html><head><script>a && b</script></head><body><article><h1>{t}</h1><p>{t} and {t}</p></article></body></html>") for k, t in enumerate(ends * 2)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").toPandas().to_parquet(folder / "pages.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["extract_document"])
+def test_odd_pages_equal_the_sql(spark, odd_pages, name):
+    check(QUERIES[name](spark, odd_pages), ORACLE_SQL[name], odd_pages)
+
+
 def test_every_query_of_the_library_has_sql():
     assert QUERIES.keys() == ORACLE_SQL.keys()
 
