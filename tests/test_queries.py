@@ -30,7 +30,7 @@ def odd_pages(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["extract_document", "fingerprint_pages"])
+@pytest.mark.parametrize("name", ["extract_document", "fingerprint_pages", "region_text_dom"])
 def test_odd_pages_equal_the_sql(spark, odd_pages, name):
     check(QUERIES[name](spark, odd_pages), ORACLE_SQL[name], odd_pages)
 
