@@ -32,7 +32,11 @@ def _path(node: H.Node, selector: str, attributes: tuple[str, ...]) -> str | Non
 
 def parse_page(html: str | None, contract: Contract) -> tuple[str | None, str | None, list[dict]]:
     """Count text, pager link and the records of a page."""
-    top, own = H.parse(html or ""), contract.selectors
+    return H.within(html, lambda top: _page(top, contract))
+
+
+def _page(top: H.Node, contract: Contract) -> tuple[str | None, str | None, list[dict]]:
+    own = contract.selectors
     count = H.select(top, own["result_count"]) if "result_count" in own else []
     pager = H.select(top, own["next_page"]) if "next_page" in own else []
     rows = [
@@ -47,6 +51,7 @@ def parse_page(html: str | None, contract: Contract) -> tuple[str | None, str |
 
 def parsed(pages: DataFrame, contract: Contract) -> DataFrame:
     """pages with count_text, link and records (an array), from one parse of each page in Arrow batches."""
+    H.in_batches(pages.sparkSession)
     kind = f"count_text string, link string, records array<struct<{ROWS.replace(' int', ':int').replace(' string', ':string').replace(' map', ':map').replace(', ', ',')}>>"
 
     @F.pandas_udf(f"struct<{kind.replace('count_text string', 'count_text:string').replace('link string', 'link:string').replace('records array', 'records:array').replace(', ', ',')}>")
@@ -54,7 +59,8 @@ def parsed(pages: DataFrame, contract: Contract) -> DataFrame:
         found = [parse_page(x, contract) for x in html]
         return pd.DataFrame({"count_text": [f[0] for f in found], "link": [f[1] for f in found], "records": [f[2] for f in found]})
 
-    return pages.withColumn("__page", parse("html")).select(*pages.columns, "__page.*")
+    # As one whose results may vary: a filter on records, which exploding them brings, would else be moved below it and parse all pages once more.
+    return pages.withColumn("__page", parse.asNondeterministic()("html")).select(*pages.columns, "__page.*")
 
 
 def listing_rows(pages: DataFrame, contract: Contract) -> DataFrame:

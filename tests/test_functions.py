@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from datetime import date
@@ -14,6 +15,8 @@ from quillmill.functions import calendar as C
 from quillmill.functions import html as H
 from quillmill.functions import text as X
 from quillmill.functions import urls as U
+from quillmill.queries import SOURCE
+from quillmill.sources import pages as P
 
 
 def values(spark, column, inputs, kind="string"):
@@ -231,6 +234,47 @@ def test_deep_and_broken_pages_are_no_failure(spark):
     assert [m.text_chars for m in made[:3]] == [3, 3, 1] and made[4].quality_flags == made[5].quality_flags == ["extraction_fallback", "extraction_failed"]
 
 
+def elements_alive(monkeypatch, use):
+    """Elements of other pages that are alive whenever use() parses one, without the collector."""
+    alive, parse = [], H.parse
+    monkeypatch.setattr(H, "parse", lambda html: (alive.append(sum(isinstance(o, H.Node) for o in gc.get_objects())), parse(html))[1])
+    gc.collect()
+    gc.disable()
+    try:
+        use()
+    finally:
+        gc.enable()
+    return alive
+
+
+MANY = [sheet("<ul><li><a href='/x'>a</a></li></ul><p>b<noscript><i>c</i></noscript></p>" * 20)] * 5
+
+
+def test_listing_pages_are_held_one_at_a_time(spark, monkeypatch):
+    assert elements_alive(monkeypatch, lambda: [P.parse_page(x, SOURCE.contract) for x in MANY]) == [0] * 5
+    assert H.text_of("<b>" * 200_000 + "x", "b") == "x"
+
+
+def test_listing_pages_come_in_small_batches(spark):
+    most = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000", "50"), "spark.sql.execution.arrow.maxBytesPerBatch": ("64m", str(4 << 20), "1m")}
+    table = spark.createDataFrame([("<p>x</p>",)], "html string")
+    try:
+        for given, expected in ((0, 1), (2, 2)):  # smaller ones stay
+            for name, values_ in most.items():
+                spark.conf.set(name, values_[given])
+            P.parsed(table, SOURCE.contract)
+            assert [spark.conf.get(name) for name in most] == [values_[expected] for values_ in most.values()]
+    finally:
+        for name in most:
+            spark.conf.unset(name)
+
+
+def test_listing_pages_are_parsed_once(spark):
+    table = spark.createDataFrame([("https://x.org/", "<p>x</p>")], "url string, html string")
+    plan = P.listing_rows(table, SOURCE.contract)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_dates_by_a_sources_format(spark):
     cases = ["2024-01-31", "2024-1-5", "31/01/2024", "2024-02-31", "", None]
     assert values(spark, X.parse_date(F.col("x"), "%Y-%m-%d"), cases) == [date(2024, 1, 31), date(2024, 1, 5), None, None, None, None]
