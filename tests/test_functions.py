@@ -6,6 +6,7 @@ import re
 from datetime import date
 from urllib.parse import unquote, urljoin
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -255,6 +256,20 @@ def test_listing_pages_are_held_one_at_a_time(spark, monkeypatch):
     assert H.text_of("<b>" * 200_000 + "x", "b") == "x"
 
 
+@pytest.mark.parametrize("made", [lambda: H.regions("div.content", "h1"), lambda: H._extracted("div.content", "h1"), lambda: H.region_text_dom("div.content")], ids=["fingerprint", "extraction", "region"])
+def test_pages_are_held_one_at_a_time_in_small_batches(spark, monkeypatch, made):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    try:
+        spark.conf.unset(name)
+        function = made().func
+        assert spark.conf.get(name) == str(H.BATCH_ROWS)
+    finally:
+        spark.conf.unset(name)
+    found = []
+    assert elements_alive(monkeypatch, lambda: found.append(function(pd.Series([*MANY, None, ""])))) == [0] * 7
+    assert len(found[0]) == 7
+
+
 def test_listing_pages_come_in_small_batches(spark):
     most = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000", "50"), "spark.sql.execution.arrow.maxBytesPerBatch": ("64m", str(4 << 20), "1m")}
     table = spark.createDataFrame([("<p>x</p>",)], "html string")
