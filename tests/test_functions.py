@@ -143,6 +143,12 @@ def test_references_count_with_their_semicolon(spark):
     assert [(r.a, r.b) for r in table.collect()] == [(x, x) for x in ("x &&amp", '&quot "', "<&gt")]
 
 
+def test_marked_sections_end_no_page():
+    for section in ("<![ x ]>", "<![x[y]]>", "<![CDATA[y]]>", "<![if !x]>", "<![1]>", "<![>"):
+        assert H.text_of(f"{section}<div>a {section}<b>b</b></div>", "div") == "a b"
+        assert [n.tag for n in H.select(H.parse(f"<p>a</p>{section}<ul><li>b</ul>"), "*")] == ["p", "ul", "li"]
+
+
 def test_dom_equals_native_regions(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(H.region_text(F.col("html"), "article").alias("a"), H.region_text_dom("article")("html").alias("b"))
     assert pages.filter("a = b").count() == pages.count()

@@ -35,6 +35,24 @@ def test_odd_pages_equal_the_sql(spark, odd_pages, name):
     check(QUERIES[name](spark, odd_pages), ORACLE_SQL[name], odd_pages)
 
 
+def with_texts(spark, folder, texts):
+    """The tables of SF, with pages of these texts."""
+    for path in Path(SF).glob("*.parquet"):
+        if path.name != "pages.parquet":
+            (folder / path.name).symlink_to(path)
+    rows = [(k, f"https://x.org/{k}", f"<html><head><title>t</title></head><body><article><h1>{t}</h1><p>{t} and {t}</p></article><p>no</p></body></html>") for k, t in enumerate(texts * 2)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").toPandas().to_parquet(folder / "pages.parquet")
+    return str(folder)
+
+
+MARKED = ["one <![ x ]> two", "one <![x[y]]> two", "one <![CDATA[y]]> two", "one <![CDATA[y>z]]> two", "<![if x]>one<![endif]> two", "one <![1]> two", "one<![-]>two"]
+
+
+@pytest.mark.parametrize("name", ["extract_document", "fingerprint_pages", "region_text_dom"])
+def test_pages_with_marked_sections_equal_the_sql(spark, tmp_path, name):
+    check(QUERIES[name](spark, folder := with_texts(spark, tmp_path, MARKED)), ORACLE_SQL[name], folder)
+
+
 def test_every_query_of_the_library_has_sql():
     assert QUERIES.keys() == ORACLE_SQL.keys()
 
