@@ -149,6 +149,17 @@ def test_marked_sections_end_no_page():
         assert [n.tag for n in H.select(H.parse(f"<p>a</p>{section}<ul><li>b</ul>"), "*")] == ["p", "ul", "li"]
 
 
+def test_texts_are_parted_by_elements_alone():
+    texts = {"a<3 and b <= c": "a<3 and b <= c", "a<!-- c -->b<!-- d --> <!-- e -->c": "ab c", "a<script>x</script><style>y</style>b": "ab", "a<b>b</b>c<br>d": "a b c d", "a<b>b<script>x</script></b>c": "a b c", "a</i>b<!x>c<?y?>d": "a b c d", "<script>x</script>a": "a"}
+    for text, expected in texts.items():
+        assert H.text_of(f"<h1>{text}</h1>", "h1") == expected
+        page = H.parse(f"<h1>{text}</h1>")
+        H._without(page, H.HIDDEN)
+        assert H.visible(page, ()) == expected
+    assert P._first_text(H.parse("<li>a < b<!-- c --> c</li>"), "li") == "a < b c"
+    assert H.text_of("a<!-- c -->b" + "<!-- c -->b" * 200_000, "a") is None
+
+
 def test_dom_equals_native_regions(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(H.region_text(F.col("html"), "article").alias("a"), H.region_text_dom("article")("html").alias("b"))
     assert pages.filter("a = b").count() == pages.count()

@@ -53,6 +53,14 @@ def test_pages_with_marked_sections_equal_the_sql(spark, tmp_path, name):
     check(QUERIES[name](spark, folder := with_texts(spark, tmp_path, MARKED)), ORACLE_SQL[name], folder)
 
 
+PARTED = ["o<!-- c -->ne two", "one <!-- a --> <!-- b > c -->t<!-- d -->wo", "o<script>'</p>'</script>ne t<style>p{}</style><script>x</script>wo", "one<!-- c --><b>two</b>", "one</i>two<!x>three<?y?>four</ z>five", "&am<!-- c -->p; one &amp;<!-- c -->lt;"]
+
+
+@pytest.mark.parametrize("name", ["extract_document", "fingerprint_pages", "region_text_dom"])
+def test_pages_with_parted_texts_equal_the_sql(spark, tmp_path, name):
+    check(QUERIES[name](spark, folder := with_texts(spark, tmp_path, PARTED)), ORACLE_SQL[name], folder)
+
+
 def test_every_query_of_the_library_has_sql():
     assert QUERIES.keys() == ORACLE_SQL.keys()
 
